@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.schemas import RECORD_COLUMNS, UNIFIED_COLUMNS
+from tempora.schemas import RECORD_COLUMNS, UNIFIED, UNIFIED_COLUMNS
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "year", mode: str = "overwrite",
@@ -38,13 +38,18 @@ def write_yearly(yearly: DataFrame, path: str, rerun_years_only: bool = False) -
     A full run overwrites the root (a rerun never duplicates rows). With
     ``rerun_years_only`` only the years present in ``yearly`` are replaced
     (dynamic partition overwrite). Files are sorted by (Country, City)."""
-    out = yearly.select(*UNIFIED_COLUMNS).hint("rebalance", "year").sortWithinPartitions("year", "Country", "City")
+    out = as_unified(yearly).hint("rebalance", "year").sortWithinPartitions("year", "Country", "City")
     writer = out.write.mode("overwrite").partitionBy("year")
     if rerun_years_only:
         writer = writer.option("partitionOverwriteMode", "dynamic")
     writer.parquet(path)
 
 
+def as_unified(df: DataFrame) -> DataFrame:
+    """Project and cast to the unified table's 5 typed columns."""
+    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UNIFIED.fields])
+
+
 def ordered(yearly: DataFrame) -> DataFrame:
     """Total order (Country, City, year): range partitioning + local sort."""
     keys = ["Country", "City", "year"]

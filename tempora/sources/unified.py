@@ -11,7 +11,7 @@ from __future__ import annotations
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.schemas import UNIFIED, UNIFIED_COLUMNS
+from tempora.schemas import UNIFIED
 
 BATCH = "batch"
 STREAMING = "streaming"
@@ -35,7 +35,8 @@ def read_unified(spark: SparkSession, base: str, sources=(BATCH, STREAMING), fal
     fallback base is tried when ``base`` has none. Empty (typed) when nothing exists."""
     for candidate in (base, *fallbacks):
         parts = [_try_read(spark, root_of(candidate, s)) for s in sources]
-        parts = [p.select(*UNIFIED_COLUMNS) for p in parts if p is not None]
+        parts = [p.select(*[p[f.name].cast(f.dataType).alias(f.name) for f in UNIFIED.fields])
+                 for p in parts if p is not None]
         if parts:
             out = parts[0]
             for p in parts[1:]:
