@@ -36,8 +36,14 @@ def _zero(c: Column, fill_zero: bool) -> Column:
     return F.coalesce(c, F.lit(0.0)) if fill_zero else c
 
 
-def point_measures(payload: Column, fill_zero: bool = False) -> dict[str, Column]:
-    p = F.from_json(payload, POINT_PAYLOAD)
+# Each payload is parsed once into a struct column of its own projection; the
+# measures then read fields of that struct. (Inlined, the optimizer would split
+# one parse per extracted field, re-reading the whole text each time.)
+_PARSED = "_parsed"
+_SCHEMAS = {POINT: POINT_PAYLOAD, CURRENT: CURRENT_PAYLOAD, MAIN_WIND: MAIN_PAYLOAD}
+
+
+def point_measures(p: Column, fill_zero: bool = False) -> dict[str, Column]:
     temp = first_element(p["temp-surface"])
     u = _zero(first_element(p["wind_u-surface"]), fill_zero)
     v = _zero(first_element(p["wind_v-surface"]), fill_zero)
@@ -52,8 +58,8 @@ def point_measures(payload: Column, fill_zero: bool = False) -> dict[str, Column
     }
 
 
-def current_measures(payload: Column, fill_zero: bool = False) -> dict[str, Column]:
-    c = F.from_json(payload, CURRENT_PAYLOAD)["current"]
+def current_measures(p: Column, fill_zero: bool = False) -> dict[str, Column]:
+    c = p["current"]
     return {
         "temperature_celsius": _zero(c["temperature_2m"], fill_zero),
         "wind_speed_kmh": _zero(c["wind_speed_10m"], fill_zero),
@@ -63,8 +69,7 @@ def current_measures(payload: Column, fill_zero: bool = False) -> dict[str, Colu
     }
 
 
-def main_wind_measures(payload: Column, fill_zero: bool = False) -> dict[str, Column]:
-    p = F.from_json(payload, MAIN_PAYLOAD)
+def main_wind_measures(p: Column, fill_zero: bool = False) -> dict[str, Column]:
     m, w = p["main"], p["wind"]
     return {
         "temperature_celsius": F.round(_zero(m["temp"], fill_zero), 2),
@@ -78,6 +83,10 @@ def main_wind_measures(payload: Column, fill_zero: bool = False) -> dict[str, Co
 _BUILDERS = {POINT: point_measures, CURRENT: current_measures, MAIN_WIND: main_wind_measures}
 
 
+def _parse(df: DataFrame, payload: str, vendor: str) -> DataFrame:
+    return df.withColumn(_PARSED, F.from_json(F.col(payload), _SCHEMAS[vendor]))
+
+
 def _record(df: DataFrame, measures: dict[str, Column], source: Column, keep: list[str]) -> DataFrame:
     cols = [F.col(c).cast(RECORD[c].dataType).alias(c) for c in _PASS_THROUGH]
     cols += [measures[m].cast(RECORD[m].dataType).alias(m) for m in _MEASURES]
@@ -88,19 +97,19 @@ def _record(df: DataFrame, measures: dict[str, Column], source: Column, keep: li
 def normalise_point(df: DataFrame, payload: str = "payload", fill_zero: bool = False,
                     source: str = POINT, keep: list[str] = ()) -> DataFrame:
     """Point-forecast payload: first array element, K → °C, Pa → hPa, u/v → km/h and bearing."""
-    return _record(df, point_measures(F.col(payload), fill_zero), F.lit(source), list(keep))
+    return _record(_parse(df, payload, POINT), point_measures(F.col(_PARSED), fill_zero), F.lit(source), list(keep))
 
 
 def normalise_current(df: DataFrame, payload: str = "payload", fill_zero: bool = False,
                       source: str = CURRENT, keep: list[str] = ()) -> DataFrame:
     """"Current weather" object: fields taken as they are."""
-    return _record(df, current_measures(F.col(payload), fill_zero), F.lit(source), list(keep))
+    return _record(_parse(df, payload, CURRENT), current_measures(F.col(_PARSED), fill_zero), F.lit(source), list(keep))
 
 
 def normalise_main(df: DataFrame, payload: str = "payload", fill_zero: bool = False,
                    source: str = MAIN_WIND, keep: list[str] = ()) -> DataFrame:
     """``main``/``wind`` objects: m/s → km/h, 2 / 1 dp rounding."""
-    return _record(df, main_wind_measures(F.col(payload), fill_zero), F.lit(source), list(keep))
+    return _record(_parse(df, payload, MAIN_WIND), main_wind_measures(F.col(_PARSED), fill_zero), F.lit(source), list(keep))
 
 
 def normalise(df: DataFrame, vendor: str = "vendor", payload: str = "payload", fill_zero: bool = False,
@@ -109,14 +118,16 @@ def normalise(df: DataFrame, vendor: str = "vendor", payload: str = "payload", f
 
     Rows with an unknown vendor are left out; ``rejects`` returns them."""
     v = F.col(vendor)
-    built = {name: fn(F.col(payload), fill_zero) for name, fn in _BUILDERS.items()}
+    known = df.filter(v.isin(*VENDORS)).withColumns(
+        {f"{_PARSED}_{name}": F.when(v == name, F.from_json(F.col(payload), _SCHEMAS[name])) for name in VENDORS}
+    )
+    built = {name: fn(F.col(f"{_PARSED}_{name}"), fill_zero) for name, fn in _BUILDERS.items()}
     measures = {}
     for m in _MEASURES:
         expr = None
         for name in VENDORS:
             expr = F.when(v == name, built[name][m]) if expr is None else expr.when(v == name, built[name][m])
         measures[m] = expr
-    known = df.filter(v.isin(*VENDORS))
     return _record(known, measures, v, list(keep))
 
 
