@@ -18,7 +18,7 @@ from tempora.plans import tables
 from tempora.session import scratch_path
 from tempora.sinks import files
 from tempora.sinks.report import run_report as build_report
-from tempora.sources.stream import decode_json, read_parquet_stream
+from tempora.sources.stream import decode_json, read_parquet_stream, read_record_csv_stream
 from tempora.sources.unified import BATCH, STREAMING, read_unified, root_of
 from tempora.streaming import queries as sq
 from tempora.streaming import windows as sw
@@ -150,6 +150,15 @@ def stream_windows(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def stream_csv_windows(spark, sf_dir):
+    """Events landed as CSV record files, then read back as a CSV file stream."""
+    landing = scratch_path(spark, "landing")
+    files.land_records_csv(tables.events_as_records(_events(spark, sf_dir)), landing)
+    stream = read_record_csv_stream(spark, landing, max_files_per_trigger=None)
+    windowed = sw.windowed_measures(sw.enrich(stream), exact=True)
+    return spark.read.parquet(_run_append(spark, sw.flatten_window(windowed), "stream-csv"))
+
+
 def stream_unified(spark, sf_dir):
     out = _run_append(spark, sw.to_unified(_event_windows(spark, sf_dir)), "stream-unified")
     return spark.read.parquet(out)
@@ -307,6 +316,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_mean": yearly_mean,
     "run_report": run_report,
     "stream_windows": stream_windows,
+    "stream_csv_windows": stream_csv_windows,
     "stream_unified": stream_unified,
     "stream_update": stream_update,
     "unified": unified_table,

@@ -234,6 +234,7 @@ SELECT *, rows_before_cleaning AS rows_extracted, CAST(7 AS INTEGER) AS columns,
        {pct('rows_before_cleaning - rows_after_cleaning', 'rows_before_cleaning')} AS removal_percentage
 FROM r""",
     "stream_windows": f"WITH {RECORDS} SELECT * FROM closed",
+    "stream_csv_windows": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_unified": STREAM_UNIFIED,
     "stream_update": f"WITH {RECORDS} SELECT * FROM win",
     "unified": f"WITH {UNIFIED} SELECT * FROM u",

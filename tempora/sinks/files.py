@@ -6,7 +6,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from tempora.schemas import RECORD_COLUMNS, UNIFIED, UNIFIED_COLUMNS
+from tempora.schemas import RECORD, UNIFIED
 
 
 def write_partitioned(df: DataFrame, path: str, partition_col: str = "year", mode: str = "overwrite",
@@ -67,8 +67,11 @@ def write_single_json(summary: DataFrame, path: str) -> None:
 
 
 def land_records_csv(records: DataFrame, directory: str) -> None:
-    """Records → new CSV files (header, 11 columns) in a stream landing directory."""
-    records.select(*RECORD_COLUMNS).write.mode("append").option("header", True).csv(directory)
+    """Records → new CSV files (header, 11 columns) in a stream landing directory.
+
+    Columns are cast to the record schema first, so the timestamp is landed as
+    full-precision text."""
+    records.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields]).write.mode("append").option("header", True).csv(directory)
 
 
 def show(df: DataFrame, n: int = 20) -> None:
