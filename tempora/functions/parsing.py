@@ -18,8 +18,16 @@ def as_column(col) -> Column:
     return F.col(col) if isinstance(col, str) else col
 
 
-def parse_date(col, fmt: str = DATE_FORMAT) -> Column:
-    """Text → date; null when the text does not match ``fmt``."""
+_TEMPORAL = (T.DateType, T.TimestampType, T.TimestampNTZType)
+
+
+def parse_date(col, fmt: str = DATE_FORMAT, dtype: T.DataType | None = None) -> Column:
+    """Text → date; null when the text does not match ``fmt``.
+
+    A column that already holds dates or timestamps (``dtype``) is only cast:
+    no per-row formatting and parsing."""
+    if dtype is not None and isinstance(dtype, _TEMPORAL):
+        return as_column(col).cast(T.DateType())
     return F.try_to_date(as_column(col), fmt)
 
 

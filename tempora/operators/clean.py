@@ -31,7 +31,7 @@ def null_profile(df: DataFrame) -> DataFrame:
 def parse_history(raw: DataFrame, date: str = RAW_DATE, temperature: str = RAW_TEMPERATURE,
                   uncertainty: str = RAW_UNCERTAINTY, fmt: str = "yyyy-MM-dd") -> DataFrame:
     """Add ``date, year, month, temperature, uncertainty``; bad text becomes null."""
-    d = parse_date(date, fmt)
+    d = parse_date(date, fmt, raw.schema[date].dataType)
     return raw.withColumns(
         {
             "date": d,

@@ -20,6 +20,7 @@ from tempora.functions.units import (
     wind_bearing,
     wind_speed,
 )
+from tempora.plans.hints import spread
 from tempora.schemas import CURRENT_PAYLOAD, MAIN_PAYLOAD, POINT_PAYLOAD, RECORD, RECORD_COLUMNS
 
 # Payload shapes known to the router.
@@ -84,7 +85,7 @@ _BUILDERS = {POINT: point_measures, CURRENT: current_measures, MAIN_WIND: main_w
 
 
 def _parse(df: DataFrame, payload: str, vendor: str) -> DataFrame:
-    return df.withColumn(_PARSED, F.from_json(F.col(payload), _SCHEMAS[vendor]))
+    return spread(df).withColumn(_PARSED, F.from_json(F.col(payload), _SCHEMAS[vendor]))
 
 
 def _record(df: DataFrame, measures: dict[str, Column], source: Column, keep: list[str]) -> DataFrame:
@@ -118,7 +119,7 @@ def normalise(df: DataFrame, vendor: str = "vendor", payload: str = "payload", f
 
     Rows with an unknown vendor are left out; ``rejects`` returns them."""
     v = F.col(vendor)
-    known = df.filter(v.isin(*VENDORS)).withColumns(
+    known = spread(df).filter(v.isin(*VENDORS)).withColumns(
         {f"{_PARSED}_{name}": F.when(v == name, F.from_json(F.col(payload), _SCHEMAS[name])) for name in VENDORS}
     )
     built = {name: fn(F.col(f"{_PARSED}_{name}"), fill_zero) for name, fn in _BUILDERS.items()}

@@ -17,3 +17,17 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield cached
     finally:
         cached.unpersist()
+
+
+def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
+    """Round-robin repartition only when ``df`` plans fewer partitions than
+    the cluster runs tasks at once (``defaultParallelism``).
+
+    For CPU-heavy per-row work (JSON decoding) on an under-split input, such
+    as one large row group. On a large input the planned partitions already
+    exceed the parallelism and this is a no-op: no shuffle is added at scale.
+    Planning the partition count runs no job."""
+    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+    if df.rdd.getNumPartitions() >= target:
+        return df
+    return df.repartition(target)

@@ -4,7 +4,7 @@ The reference reads a historical temperature CSV and a stream of weather
 records; neither ships with it. These projections let the same operators run
 over the driver's tables (and grow with them):
 
-historical table (raw text shape of the CSV):
+historical table (the CSV's columns):
     orders    dt ← o_orderdate, AverageTemperature ← o_totalprice,
               City ← o_custkey, Country ← o_orderpriority,
               Latitude ← o_orderstatus, Longitude ← o_orderkey (text)
@@ -22,8 +22,10 @@ stream record:
 vendor payloads:
     lineitem  one payload per line, numbers taken from the line's columns.
 
-``faults=True`` injects, deterministically and identically in the SQL oracle,
-the defects the cleaner must handle (the rows stay; the cleaner drops them).
+Dates are handed over typed (parsed by a cast, no text round trip), except
+with ``faults=True``, which lands them as text and injects, deterministically
+and identically in the SQL oracle, the defects the cleaner must handle (the
+rows stay; the cleaner drops them).
 """
 
 from __future__ import annotations
@@ -31,6 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from tempora.plans.hints import spread
 from tempora.schemas import RECORD_COLUMNS
 
 # Fault injection on the historical table: (modulus of the row key, defect).
@@ -54,6 +57,11 @@ def _date_text(ts: str) -> Column:
     return F.date_format(F.col(ts), "yyyy-MM-dd")
 
 
+def _landed_date(ts: str) -> Column:
+    """The date as landed: typed (Parquet keeps types), parsed by a cast."""
+    return F.col(ts)
+
+
 def _null_when(cond: Column, value: Column) -> Column:
     return F.when(~cond, value)
 
@@ -61,12 +69,12 @@ def _null_when(cond: Column, value: Column) -> Column:
 def history_from_orders(spark: SparkSession, sf_dir: str, faults: bool = False) -> DataFrame:
     o = table(spark, sf_dir, "orders")
     key = F.col("o_orderkey")
-    dt = _date_text("o_orderdate")
+    dt = _landed_date("o_orderdate")
     temp: Column = F.col("o_totalprice")
     city: Column = F.col("o_custkey")
     country: Column = F.col("o_orderpriority")
     if faults:
-        dt = F.when(key % FAULT_BAD_DATE == 0, F.lit(BAD_DATE_TEXT)).otherwise(dt)
+        dt = F.when(key % FAULT_BAD_DATE == 0, F.lit(BAD_DATE_TEXT)).otherwise(_date_text("o_orderdate"))
         temp_text = F.when(key % FAULT_NOT_A_NUMBER == 0, F.lit(BAD_NUMBER_TEXT)).otherwise(temp.cast("string"))
         temp = _null_when(key % FAULT_TEMPERATURE_NULL == 0, temp_text)
         city = _null_when(key % FAULT_CITY_NULL == 0, city)
@@ -85,7 +93,7 @@ def history_from_orders(spark: SparkSession, sf_dir: str, faults: bool = False)
 def history_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
     li = table(spark, sf_dir, "lineitem")
     return li.select(
-        _date_text("l_shipdate").alias("dt"),
+        _landed_date("l_shipdate").alias("dt"),
         F.col("l_extendedprice").alias("AverageTemperature"),
         F.col("l_tax").alias("AverageTemperatureUncertainty"),
         F.col("l_partkey").alias("City"),
@@ -98,7 +106,7 @@ def history_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
 def history_from_events(spark: SparkSession, sf_dir: str) -> DataFrame:
     ev = table(spark, sf_dir, "events")
     return ev.select(
-        _date_text("ts").alias("dt"),
+        _landed_date("ts").alias("dt"),
         F.col("value").alias("AverageTemperature"),
         F.lit(None).cast("double").alias("AverageTemperatureUncertainty"),
         F.col("user_id").alias("City"),
@@ -193,7 +201,7 @@ def payloads_from_lineitem(spark: SparkSession, sf_dir: str, vendor: str | None
 
     With ``vendor`` every row has that shape; without, the shape is chosen by
     ``l_linenumber mod 4`` (point, current, main_wind, and an unknown vendor)."""
-    li = table(spark, sf_dir, "lineitem")
+    li = spread(table(spark, sf_dir, "lineitem"))  # JSON building is CPU-heavy per row
     ctx = _line_context(li)
     if vendor is not None:
         return li.select(*ctx, F.lit(vendor).alias("vendor"), PAYLOADS[vendor](li).alias("payload"))
