@@ -32,6 +32,9 @@ ORDER_LOW = 5000.0
 ORDER_HIGH = 495000.0
 RECENT_SINCE = 2000
 EVOLUTION_WINDOW = "1 day"
+# Micro-batch bound of the event stream: at scale a backlog is drained in
+# batches of this many input bytes (a single small file is one batch).
+STREAM_BYTES_PER_TRIGGER = 8 << 30
 
 
 # ---------------------------------------------------------------- historical
@@ -130,7 +133,8 @@ def run_report(spark, sf_dir):
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     schema = tables.table(spark, sf_dir, "events").schema
-    return read_parquet_stream(spark, sf_dir, schema, glob="events.parquet", max_files_per_trigger=1)
+    return read_parquet_stream(spark, sf_dir, schema, glob="events.parquet",
+                               max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER)
 
 
 def _event_windows(spark, sf_dir) -> DataFrame:

@@ -18,7 +18,7 @@ def read_record_csv_stream(spark: SparkSession, directory: str, schema=RECORD, m
 
 
 def read_parquet_stream(spark: SparkSession, directory: str, schema, glob: str | None = None,
-                        max_files_per_trigger: int | None = None, max_bytes_per_trigger: str | None = None) -> DataFrame:
+                        max_files_per_trigger: int | None = None, max_bytes_per_trigger: int | None = None) -> DataFrame:
     """Stream of Parquet files (e.g. a landing directory or a driver table file)."""
     reader = spark.readStream.schema(schema)
     if glob:
@@ -26,7 +26,7 @@ def read_parquet_stream(spark: SparkSession, directory: str, schema, glob: str |
     if max_files_per_trigger:
         reader = reader.option("maxFilesPerTrigger", max_files_per_trigger)
     if max_bytes_per_trigger:
-        reader = reader.option("maxBytesPerTrigger", max_bytes_per_trigger)
+        reader = reader.option("maxBytesPerTrigger", str(int(max_bytes_per_trigger)))
     return reader.parquet(directory)
 
 
