@@ -30,27 +30,71 @@ def stats_per_key(df: DataFrame, keys: list[str], value: str, exact: bool = Fals
     )
 
 
+_UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
+
+
+def duration_seconds(duration: str) -> int:
+    """Seconds in a fixed window duration such as ``"1 day"`` or ``"10 minutes"``."""
+    n, unit = duration.split()
+    return int(n) * _UNIT_SECONDS[unit.lower().rstrip("s")]
+
+
 def evolution(df: DataFrame, keys: list[str], ts: str, value: str, duration: str = "1 day",
-              exact: bool = False) -> DataFrame:
-    """Mean per key and tumbling window, and its change from the key's previous window.
+              exact: bool = False, chunk_windows: int = 1024) -> DataFrame:
+    """Mean per key and tumbling window, and its change from the key's previous
+    (non-empty) window.
 
-    The ``lag`` runs over already aggregated rows (one per key and window)."""
+    The ``lag`` runs over aggregated rows, within chunks of ``chunk_windows``
+    consecutive window periods per key, so a key with a very long history is
+    spread over many tasks. The first row of a chunk takes its predecessor from
+    the last row of the key's previous non-empty chunk (a table of one row per
+    key and chunk)."""
     per_window = df.groupBy(F.window(ts, duration).alias("w"), *keys).agg(
         mean(value, exact=exact).alias("mean_value"), F.count(F.lit(1)).alias("n")
     )
+    span = duration_seconds(duration) * chunk_windows
     flat = per_window.select(
-        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "mean_value", "n"
+        F.col("w.start").alias("window_start"), F.col("w.end").alias("window_end"), *keys, "mean_value", "n",
+        F.floor(F.unix_seconds(F.col("w.start").cast("timestamp")) / F.lit(span)).alias("_chunk"),
     )
-    order = Window.partitionBy(*keys).orderBy("window_start")
-    prev = F.lag("mean_value").over(order)
+    in_chunk = Window.partitionBy(*keys, "_chunk").orderBy("window_start")
+    flat = flat.withColumns({"_prev": F.lag("mean_value").over(in_chunk), "_pos": F.row_number().over(in_chunk)})
+    # Same columns as the main branch, so both read one reused shuffle of the aggregate.
+    last = flat.groupBy(*keys, "_chunk").agg(
+        F.max(F.struct("window_start", "window_end", "mean_value", "n")).alias("_last")
+    )
+    by_chunk = Window.partitionBy(*keys).orderBy("_chunk")
+    carry = last.select(*keys, "_chunk", F.lag(F.col("_last.mean_value")).over(by_chunk).alias("_carry"))
+    carry = carry.select(*[F.col(c).alias(f"_c_{c}") for c in [*keys, "_chunk"]], "_carry")
+    joined = flat.join(carry, _null_safe_on(flat, carry, [*keys, "_chunk"]), "left")
+    prev = F.when(F.col("_pos") == 1, F.col("_carry")).otherwise(F.col("_prev"))
     change = (F.col("mean_value").cast("decimal(20,2)") - prev.cast("decimal(20,2)")).cast("double")
-    return flat.withColumn("change", change)
+    return joined.select("window_start", "window_end", *keys, "mean_value", "n", change.alias("change"))
+
 
+def _null_safe_on(flat: DataFrame, carry: DataFrame, cols: list[str]):
+    cond = None
+    for c in cols:
+        eq = flat[c].eqNullSafe(carry[f"_c_{c}"])
+        cond = eq if cond is None else cond & eq
+    return cond
 
-def rank_by_mean(df: DataFrame, keys: list[str], value: str, exact: bool = False) -> DataFrame:
-    """Keys ranked by mean, highest first (``rank``: ties share a rank).
 
-    Aggregates first; the global rank then runs over one row per key."""
-    means = df.groupBy(*keys).agg(mean(value, exact=exact).alias("mean_value"))
-    order = Window.orderBy(F.desc("mean_value"))
-    return means.withColumn("rank", F.rank().over(order))
+def rank_by_mean(df: DataFrame, keys: list[str], value: str, exact: bool = False,
+                 decimals: int | None = 2) -> DataFrame:
+    """Keys ranked by mean, highest first, with ``rank`` semantics (ties share
+    a rank, nulls last).
+
+    The rank of a mean is 1 + the number of keys with a greater mean. It is
+    computed over the distinct rounded means with their key counts (at most
+    value range × 10^decimals rows, whatever the number of keys) and joined
+    back, so no task ever holds all keys."""
+    means = df.groupBy(*keys).agg(mean(value, decimals=decimals, exact=exact).alias("mean_value"))
+    levels = means.groupBy("mean_value").agg(F.count(F.lit(1)).alias("_n"))
+    higher = Window.orderBy(F.desc_nulls_last("mean_value")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.select(
+        F.col("mean_value").alias("_level"),
+        (F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1).cast("int").alias("rank"),
+    )
+    joined = means.join(levels, means["mean_value"].eqNullSafe(levels["_level"]), "inner")
+    return joined.select(*keys, "mean_value", "rank")

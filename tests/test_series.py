@@ -17,3 +17,22 @@ def test_latest_stats_evolution_rank(spark):
     assert [(r.mean_value, r.change) for r in evo] == [(10.0, None), (15.0, 5.0)]
     ranks = {r.city: r.rank for r in series.rank_by_mean(df, ["city"], "value").collect()}
     assert ranks == {"Paris": 1, "Oslo": 2}
+
+
+def test_evolution_chunks_match_single_pass(spark):
+    t = dt.datetime
+    days = [0, 1, 2, 4, 5, 9, 10, 11, 15]  # gaps cross chunk borders
+    rows = [(k, t(2024, 1, 1 + d, 6), float(d * 3 + i)) for i, k in enumerate(["a", "b", None]) for d in days]
+    df = spark.createDataFrame(rows, "city string, ts timestamp, value double")
+    small = series.evolution(df, ["city"], "ts", "value", chunk_windows=2, exact=True)
+    whole = series.evolution(df, ["city"], "ts", "value", chunk_windows=10_000, exact=True)
+    assert sorted(small.collect(), key=str) == sorted(whole.collect(), key=str)
+    a = small.filter("city = 'a'").orderBy("window_start").collect()
+    assert [r.change for r in a] == [None] + [3.0 * (d2 - d1) for d1, d2 in zip(days, days[1:])]
+
+
+def test_rank_ties_and_nulls(spark):
+    rows = [("a", 1.0), ("b", 3.0), ("c", 3.0), ("d", None), ("e", 2.0)]
+    df = spark.createDataFrame(rows, "k string, v double")
+    got = {r.k: r.rank for r in series.rank_by_mean(df, ["k"], "v").collect()}
+    assert got == {"b": 1, "c": 1, "e": 3, "a": 4, "d": 5}

@@ -49,7 +49,11 @@ def session(log_dir: str, cpus: int) -> SparkSession:
 
 
 def plan_counts(df) -> tuple[int, int]:
-    p = df._jdf.queryExecution().executedPlan().toString()
+    """Scans and exchanges in the final (post-AQE) plan; runs the DataFrame's
+    own plan through its RDD, so nothing is collected."""
+    plan = df._jdf.queryExecution().executedPlan()
+    plan.execute().count()
+    p = plan.toString().split("== Initial Plan ==")[0]
     return len(re.findall(r"FileScan|Scan parquet|Scan csv|Scan json", p)), p.count("Exchange ")
 
 
