@@ -92,8 +92,11 @@ def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bo
                  watermark: str = sw.WATERMARK) -> list:
     """Windowed measures of a record stream (CSV files, Parquet or Kafka — any
     streaming DataFrame with the record columns), written by two queries with
-    their own checkpoints: console/update and Parquet/append to the streaming root."""
-    windowed = sw.windowed_measures(sw.enrich(stream), window, watermark)
+    their own checkpoints: console/update and Parquet/append to the streaming root.
+    Rows without event time or temperature are counted per batch
+    (``observedMetrics["record_quality"]``)."""
+    enriched = sw.with_quality_metrics(sw.enrich(stream))
+    windowed = sw.windowed_measures(enriched, window, watermark)
     started = []
     if console:
         started.append(sq.start_console_update(windowed, processing_time, available_now,

@@ -58,6 +58,16 @@ def decode_json(df: DataFrame, schema=RECORD, value: str = "value", keep: list[s
     return df.select(*keep, parsed).select(*keep, "data.*")
 
 
+def with_json_rejects(decoded: DataFrame, columns: list[str], name: str = "json_rejects") -> DataFrame:
+    """Observe how many decoded rows came out entirely null (garbage or empty
+    objects): ``observedMetrics[name]`` in stream progress."""
+    all_null = None
+    for c in columns:
+        cond = F.col(c).isNull()
+        all_null = cond if all_null is None else all_null & cond
+    return decoded.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(all_null).alias("all_null"))
+
+
 def json_field(value: Column | str, schema) -> Column:
     """``from_json`` of one column (string or binary)."""
     c = F.col(value) if isinstance(value, str) else value

@@ -13,6 +13,16 @@ from pyspark.sql.streaming import StreamingQuery
 from tempora.streaming.windows import TRIGGER
 
 
+ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
+
+
+def use_rocksdb_state(spark: SparkSession) -> None:
+    """Keep streaming state in RocksDB (off-heap, on local disk, snapshotted to
+    the checkpoint) instead of JVM memory: for large key sets. Applies to
+    queries started afterwards; an existing checkpoint keeps its provider."""
+    spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
+
+
 def _trigger(writer, processing_time: str | None, available_now: bool):
     if available_now:
         return writer.trigger(availableNow=True)
@@ -77,13 +87,24 @@ def run_to_completion(query: StreamingQuery, timeout: float | None = None) -> St
 
 
 def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until any query ends (or fails), then stop all of them.
+    """Wait until any of ``queries`` ends (or fails), then stop all of them and
+    re-raise the first failure.
 
-    Waiting on each query in turn would miss a failure of the second one."""
+    Waiting on each query in turn would miss a failure of the second one.
+    Terminations from before the call are forgotten first, so only these
+    queries count."""
+    spark.streams.resetTerminated()
     try:
-        spark.streams.awaitAnyTermination(timeout)
+        if any(q.isActive for q in queries):
+            try:
+                spark.streams.awaitAnyTermination(timeout)
+            except Exception:  # reported below from the query itself
+                pass
     finally:
         stop_all(queries)
+    for q in queries:
+        if q.exception() is not None:
+            raise q.exception()
 
 
 def stop_all(queries: list[StreamingQuery]) -> None:

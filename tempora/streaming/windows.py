@@ -26,6 +26,19 @@ def enrich(records: DataFrame, ts: str = "timestamp") -> DataFrame:
     )
 
 
+def with_quality_metrics(enriched: DataFrame, name: str = "record_quality") -> DataFrame:
+    """Count, per micro-batch (or per batch job), the rows read and those that
+    cannot be aggregated: no event time (bad or empty timestamp) or no
+    temperature. Reported in ``query.lastProgress["observedMetrics"][name]``
+    (streams) or by an ``Observation`` named ``name`` (batch)."""
+    return enriched.observe(
+        name,
+        F.count(F.lit(1)).alias("rows"),
+        F.count_if(F.col("event_time").isNull()).alias("no_event_time"),
+        F.count_if(F.col("temperature_celsius").isNull()).alias("no_temperature"),
+    )
+
+
 def windowed_measures(enriched: DataFrame, window: str = WINDOW, watermark: str | None = WATERMARK,
                       keys=KEYS, exact: bool = False) -> DataFrame:
     """Per (window, keys): rows, mean temperature (2 dp), max, min and the

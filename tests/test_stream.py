@@ -93,8 +93,12 @@ def test_landing_writer_feeds_stream(spark, tmp_path):
     rows = [("2024-01-01T10:00:30", "Paris", "France", 1.0, 2.0, 10.0, 5.0, 90, 50.0, 1010.0, "s"),
             ("2024-01-01T10:10:00", "Paris", "France", 1.0, 2.0, 12.0, 5.0, 90, 50.0, 1010.0, "s")]
     land_records_csv(spark.createDataFrame(rows, RECORD), landing)
-    windowed_query(spark, landing, out, ckpt)
-    assert spark.read.parquet(out).count() == 1
+    # one writer job lands several part files in no particular order: read them as one batch
+    stream = read_record_csv_stream(spark, landing, max_files_per_trigger=None)
+    flat = sw.flatten_window(sw.windowed_measures(sw.enrich(stream), exact=True))
+    sq.run_to_completion(sq.start_parquet_append(flat, out, ckpt, available_now=True))
+    got = spark.read.parquet(out).collect()
+    assert [(str(r.window_start), r.temperature_moyenne) for r in got] == [("2024-01-01 10:00:00", 10.0)]
 
 
 def test_update_mode_table_and_memory_sink(spark, tmp_path):
@@ -153,3 +157,68 @@ def test_kafka_shaped_rows_round_trip(spark):
     back = decode_json(kafka.select(F.col("value").cast("binary").alias("value")))
     assert back.first().asDict() == dict(zip(RECORD_COLUMNS, rows[0]))
     assert kafka_options("broker:9092", "weather")["subscribe"] == "weather"
+
+
+def test_quality_metrics_count_unaggregatable_rows(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    land(landing, "1.csv", [rec("2024-01-01T10:00:30"), rec("", temp=1.0), rec("not a time"),
+                            "2024-01-01T10:00:40,Paris,France,1,1,None,1,1,1,1,s\n"])
+    stream = sw.with_quality_metrics(sw.enrich(read_record_csv_stream(spark, landing)))
+    q = sq.start_parquet_append(sw.flatten_window(sw.windowed_measures(stream)), str(tmp_path / "o"),
+                                str(tmp_path / "c"), available_now=True)
+    sq.run_to_completion(q)
+    metrics = [p["observedMetrics"]["record_quality"] for p in q.recentProgress if p.get("observedMetrics")]
+    assert metrics[0].asDict() == {"rows": 4, "no_event_time": 2, "no_temperature": 1}
+
+
+def test_json_rejects_observed(spark, tmp_path):
+    from tempora.sources.stream import with_json_rejects
+
+    src = str(tmp_path / "json")
+    spark.createDataFrame([('{"city": "Paris"}',), ("garbage",), ("{}",)], "value string").write.text(src)
+    stream = spark.readStream.schema("value string").text(src)
+    decoded = with_json_rejects(decode_json(stream), RECORD_COLUMNS)
+    q = (decoded.writeStream.format("noop").option("checkpointLocation", str(tmp_path / "c"))
+         .trigger(availableNow=True).start())
+    sq.run_to_completion(q)
+    m = [p["observedMetrics"]["json_rejects"] for p in q.recentProgress if p.get("observedMetrics")][0]
+    assert m.asDict() == {"rows": 3, "all_null": 2}
+
+
+def test_await_any_stops_all(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    land(landing, "1.csv", [rec("2024-01-01T10:00:30")])
+    stream = read_record_csv_stream(spark, landing)
+    w = sw.windowed_measures(sw.enrich(stream))
+    q1 = sq.start_parquet_append(sw.to_unified(w), str(tmp_path / "o"), str(tmp_path / "c1"), available_now=True)
+    q2 = sq.start_parquet_append(sw.to_unified(w), str(tmp_path / "o2"), str(tmp_path / "c2"),
+                                 processing_time="1 second")
+    sq.await_any(spark, [q1, q2], timeout=60)
+    assert not q1.isActive and not q2.isActive
+    spark.streams.resetTerminated()
+
+
+def test_rocksdb_state_store(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    land(landing, "1.csv", [rec("2024-01-01T10:00:30"), rec("2024-01-01T10:09:00")])
+    old = spark.conf.get("spark.sql.streaming.stateStore.providerClass")
+    sq.use_rocksdb_state(spark)
+    try:
+        windowed_query(spark, landing, str(tmp_path / "out"), str(tmp_path / "ckpt"))
+    finally:
+        spark.conf.set("spark.sql.streaming.stateStore.providerClass", old)
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 1
+
+
+def test_batch_and_stream_agree_on_closed_windows(spark):
+    from tempora.plans import catalog, tables
+    from tests.conftest import SF_SMALL
+
+    streamed = catalog.stream_windows(spark, SF_SMALL)
+    ev = tables.table(spark, SF_SMALL, "events")
+    batch = sw.flatten_window(sw.windowed_measures(sw.enrich(tables.events_as_records(ev)), watermark=None,
+                                                   exact=True))
+    horizon = ev.agg(F.max("ts")).first()[0]
+    import datetime as dt
+    closed = batch.filter(F.col("window_end") <= F.lit(horizon - dt.timedelta(minutes=2)))
+    assert sorted(streamed.collect()) == sorted(closed.collect())

@@ -59,3 +59,11 @@ def test_reports(spark):
     assert approx.nb_villes == 2
     w = U.weighted_mean_by(u.withColumn("n", F.lit(2)), ["City"]).filter("City = 'Oslo'").first()
     assert w.temp_moy_ponderee == 2.0
+
+
+def test_total_order_before_write(spark):
+    from tempora.sinks.files import ordered
+
+    df = batch_rows(spark).unionByName(stream_rows(spark))
+    rows = [(r.Country, r.City, r.year) for r in ordered(df).collect()]
+    assert rows == sorted(rows)
