@@ -1,10 +1,17 @@
 """Mean expressions.
 
 ``mean(c)`` is the reference's ``round(avg(c), 2)``. ``mean(c, exact=True)``
-is the same figure computed on decimals: the sum is exact and independent of
-the order in which partitions are combined, so reruns, partition counts and an
-independent SQL engine all agree to the last cent. Exact only for inputs that
-carry at most ``scale`` decimals.
+is the same figure computed exactly: every value becomes an integer number of
+``10^-scale`` units (HALF_UP), the units are summed in integer arithmetic and
+only the per-group result is divided and rounded (HALF_UP) in decimals. The
+sum does not depend on the order in which partitions are combined, so reruns,
+partition counts and an independent SQL engine all agree to the last cent.
+Exact for inputs that carry at most ``scale`` decimals.
+
+The hot path is two ``long`` sums per value (codegen'd hash aggregation, no
+``Decimal`` objects). Units are split into a high part (``units >> 20``) and a
+low part (the low 20 bits), so neither sum can overflow before about 10^13
+rows in one group; the recombination per group is a ``decimal(24,0)``.
 """
 
 from __future__ import annotations
@@ -14,22 +21,37 @@ from pyspark.sql import functions as F
 
 from tempora.functions.parsing import as_column
 
-# Integer digits kept by the exact form before the sum widens it.
-_INT_DIGITS = 18
+_SPLIT_BITS = 20
+
+
+def units(col, scale: int = 2) -> Column:
+    """``col`` in integer units of ``10^-scale``, rounded half away from zero."""
+    x = as_column(col) * F.lit(float(10**scale))
+    return F.when(x < 0, -F.floor(-x + F.lit(0.5))).otherwise(F.floor(x + F.lit(0.5))).cast("long")
+
+
+def exact_sum_units(col, scale: int = 2) -> Column:
+    """Aggregate: exact sum of ``units(col)`` as ``decimal(24,0)``; null when no value."""
+    u = units(col, scale)
+    hi = F.sum(F.shiftright(u, _SPLIT_BITS))
+    lo = F.sum(u.bitwiseAND(F.lit((1 << _SPLIT_BITS) - 1)))
+    total = hi.cast("decimal(24,0)") * F.lit(1 << _SPLIT_BITS).cast("decimal(8,0)") + lo.cast("decimal(24,0)")
+    return total.cast("decimal(24,0)")
 
 
 def mean(col, decimals: int | None = 2, exact: bool = False, scale: int = 2) -> Column:
     """Mean of ``col`` rounded HALF_UP to ``decimals`` (None: unrounded).
 
-    Nulls are skipped. ``exact=True`` sums ``decimal(18+scale, scale)`` values
-    and divides by the count in decimal arithmetic, then rounds.
-    """
+    Nulls are skipped. ``exact=True`` uses integer unit sums (see module doc);
+    ``decimals`` must then be at most ``scale``."""
     c = as_column(col)
     if not exact:
         avg = F.avg(c)
         return avg if decimals is None else F.round(avg, decimals)
-    dec = c.cast(f"decimal({_INT_DIGITS + scale},{scale})")
-    quotient = F.sum(dec) / F.count(c)
+    n = F.count(c)
+    mean_units = exact_sum_units(c, scale) / n  # decimal(38,14): exact to 14 places in units
     if decimals is not None:
-        quotient = F.round(quotient, decimals)
-    return quotient.cast("double")
+        if decimals > scale:
+            raise ValueError("decimals must not exceed scale for the exact mean")
+        mean_units = F.round(mean_units, decimals - scale)
+    return F.when(n > 0, mean_units.cast("double") / F.lit(float(10**scale)))

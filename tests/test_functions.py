@@ -70,3 +70,14 @@ def test_no_python_udf_in_expressions(spark):
     plan = df.select(wind_bearing("u", "v"), wind_speed("u", "v"))._jdf.queryExecution().executedPlan().toString()
     assert "PythonUDF" not in plan and "BatchEvalPython" not in plan and "ArrowEvalPython" not in plan
     assert math.isclose(df.select(F.degrees(F.atan2("u", "v"))).first()[0], 26.565051177077994)
+
+
+def test_exact_mean_survives_long_overflow_of_units(spark):
+    # 3 × 4e18 cents exceeds the long range; the split sums stay exact
+    df = spark.createDataFrame([(4e16,), (4e16,), (4e16,), (None,)], "v double")
+    assert df.agg(mean("v", exact=True).alias("m")).first().m == 4e16
+
+
+def test_exact_mean_of_empty_group_is_null(spark):
+    df = spark.createDataFrame([(None,)], "v double")
+    assert df.agg(mean("v", exact=True).alias("m")).first().m is None
