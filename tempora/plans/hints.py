@@ -27,7 +27,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     as one large row group. On a large input the planned partitions already
     exceed the parallelism and this is a no-op: no shuffle is added at scale.
     Planning the partition count runs no job."""
-    target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-    if df.rdd.getNumPartitions() >= target:
+    try:
+        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
+        planned = df.rdd.getNumPartitions()
+    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it to Spark
         return df
-    return df.repartition(target)
+    return df if planned >= target else df.repartition(target)

@@ -9,7 +9,6 @@ one ourselves.
 
 from __future__ import annotations
 
-import os
 import tempfile
 import uuid
 
@@ -56,9 +55,6 @@ def shared_dir(spark: SparkSession) -> str:
 
 
 def scratch_path(spark: SparkSession, name: str) -> str:
-    """A new, unique path under the shared folder (never reused, never cleared)."""
-    base = shared_dir(spark)
-    path = f"{base}/tempora/{name}-{uuid.uuid4().hex[:12]}"
-    if path.startswith("/") or path.startswith("file:"):
-        os.makedirs(path.removeprefix("file:"), exist_ok=True)
-    return path
+    """A new, unique path under the shared folder (never reused, never cleared).
+    Spark's writers and stream checkpoints create it on first use."""
+    return f"{shared_dir(spark)}/tempora/{name}-{uuid.uuid4().hex[:12]}"

@@ -5,7 +5,7 @@ import pytest
 
 import __spark_entry__ as contract
 from tests.conftest import SF_SMALL
-from tools.compare import digest, duck
+from tools.compare import digest, duck, type_diffs
 
 KEYS = sorted(contract.queries())
 
@@ -32,5 +32,6 @@ def test_query_matches_oracle(spark, con, key):
     rel = con.sql(contract.oracle_sql()[key])
     drows = rel.fetchall()
     assert sorted(sdf.columns) == sorted(rel.columns)
+    assert type_diffs(sdf, rel) == []
     assert len(srows) == len(drows)
     assert digest(sdf.columns, srows)[0] == digest(rel.columns, drows)[0]
