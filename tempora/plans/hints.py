@@ -6,6 +6,7 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
+from pyspark.sql import functions as F
 
 
 @contextmanager
@@ -20,8 +21,8 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
 
 
 def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Round-robin repartition only when ``df`` plans fewer partitions than
-    the cluster runs tasks at once (``defaultParallelism``).
+    """Repartition only when ``df`` plans fewer partitions than the cluster
+    runs tasks at once (``defaultParallelism``).
 
     For CPU-heavy per-row work (JSON decoding) on an under-split input, such
     as one large row group. On a large input the planned partitions already
@@ -32,4 +33,9 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
         planned = df.rdd.getNumPartitions()
     except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it to Spark
         return df
-    return df if planned >= target else df.repartition(target)
+    if planned >= target:
+        return df
+    # Hash of the row's own columns: deterministic on a retried task (unlike a
+    # round-robin split, which needs a full local sort to be), and even unless
+    # rows repeat massively.
+    return df.repartition(target, F.xxhash64(*df.columns))
