@@ -89,12 +89,18 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
 
 def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bool = True, parquet: bool = True,
                  processing_time: str = sw.TRIGGER, available_now: bool = False, window: str = sw.WINDOW,
-                 watermark: str = sw.WATERMARK) -> list:
+                 watermark: str = sw.WATERMARK, state_partitions: int | None = None) -> list:
     """Windowed measures of a record stream (CSV files, Parquet or Kafka — any
     streaming DataFrame with the record columns), written by two queries with
     their own checkpoints: console/update and Parquet/append to the streaming root.
     Rows without event time or temperature are counted per batch
-    (``observedMetrics["record_quality"]``)."""
+    (``observedMetrics["record_quality"]``).
+
+    ``state_partitions`` sets the number of state partitions for checkpoints
+    created now (a checkpoint keeps its count for life, whatever the session
+    says later); size it for the largest expected key set."""
+    if state_partitions:
+        stream.sparkSession.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
     enriched = sw.with_quality_metrics(sw.enrich(stream))
     windowed = sw.windowed_measures(enriched, window, watermark)
     started = []
