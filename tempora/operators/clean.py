@@ -78,24 +78,19 @@ def clean_history(raw: DataFrame, city: str = RAW_CITY, country: str = RAW_COUNT
     return to_clean_schema(kept, city, country, latitude, longitude)
 
 
-def observed_clean(raw: DataFrame, name: str = "clean", city: str = RAW_CITY,
-                   country: str = RAW_COUNTRY, **kwargs) -> tuple[DataFrame, Observation]:
+def observed_clean(raw: DataFrame, name: str = "clean", city: str = RAW_CITY, country: str = RAW_COUNTRY,
+                   latitude: str = RAW_LATITUDE, longitude: str = RAW_LONGITUDE,
+                   **parse_args) -> tuple[DataFrame, Observation]:
     """Clean table plus an ``Observation`` filled by whichever action runs it.
 
     ``obs.get`` holds ``rows_before`` and ``rows_after`` once the clean table has
-    been written (or otherwise fully consumed); no separate scan is needed.
-    """
+    been written (or otherwise fully consumed); no separate scan is needed."""
     obs = Observation(name)
-    parsed = parse_history(raw, **{k: v for k, v in kwargs.items() if k in ("date", "temperature", "uncertainty", "fmt")})
-    observed = parsed.observe(
-        obs,
-        F.count(F.lit(1)).alias("rows_before"),
-        F.count_if(is_valid(city, country)).alias("rows_after"),
+    valid = is_valid(city, country)
+    observed = parse_history(raw, **parse_args).observe(
+        obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after")
     )
-    kept = observed.filter(is_valid(city, country))
-    lat = kwargs.get("latitude", RAW_LATITUDE)
-    lon = kwargs.get("longitude", RAW_LONGITUDE)
-    return to_clean_schema(kept, city, country, lat, lon), obs
+    return to_clean_schema(observed.filter(valid), city, country, latitude, longitude), obs
 
 
 def half_up_percent(part: str, whole: str) -> Column:

@@ -6,6 +6,9 @@ one-row summaries (observation metrics, the report)."""
 
 from __future__ import annotations
 
+import datetime
+import time
+
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
@@ -51,16 +54,20 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
                  low: float = analysis.EXTREME_LOW, high: float = analysis.EXTREME_HIGH,
                  min_records: int = analysis.MIN_CITY_RECORDS) -> dict:
     """Profile, clean and analyse the historical table; write the seven
-    datasets and a one-row report. Returns the report as a dict.
+    datasets and a one-row report (counts, statistics, run information and
+    wall-clock phase durations). Returns the report as a dict.
 
     The clean table is cached for its several consumers; the first write fills
     the cache and the cleaning observation. Summaries are bounded (countries,
     years, decades, top-k) and written as single files."""
+    t_start = time.perf_counter()
     raw = read_history_csv(spark, csv_path)
+    shape = clean.table_shape(raw)
     clean_df, obs = clean.observed_clean(raw)
     out = {k: f"{out_dir}/{v}" for k, v in OUTPUTS.items()}
     with persisted(clean_df) as c:
         files.write_clean(c, out["clean"])
+        t_transform = time.perf_counter()
         files.write_single_csv(analysis.mean_by_country(c, exact=exact), out["by_country"])
         files.write_single_csv(analysis.mean_by_year(c, exact=exact), out["by_year"])
         with persisted(analysis.city_means(c, min_records, exact=exact)) as means:
@@ -70,6 +77,7 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
         files.write_single_csv(analysis.mean_by_decade(c, exact=exact), out["by_decade"])
         stats = analysis.global_stats(c, low, high, exact=exact)
         counts = obs.get
+        t_load = time.perf_counter()
         before, after = counts["rows_before"], counts["rows_after"]
         report = stats.select(
             F.lit(before).alias("rows_before_cleaning"),
@@ -82,6 +90,13 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
             F.round("global_max_temperature", 2).alias("global_max_temperature"),
             F.col("extreme_observations"),
             F.lit(len(OUTPUTS) - 1).alias("datasets_saved"),
+            F.lit(shape["partitions"]).alias("partitions"),
+            F.lit(spark.version).alias("spark_version"),
+            F.lit(datetime.datetime.now(datetime.timezone.utc).isoformat()).alias("execution_date"),
+            F.lit(out_dir).alias("output_directory"),
+            F.array(*[F.lit(f) for f in ("parquet", "csv", "json")]).alias("formats"),
+            F.lit(round(t_transform - t_start, 2)).alias("extract_transform_seconds"),
+            F.lit(round(t_load - t_transform, 2)).alias("load_seconds"),
         )
         write_report(report, out["report"])
     return spark.read.json(out["report"]).first().asDict()

@@ -77,8 +77,3 @@ def land_records_csv(records: DataFrame, directory: str) -> None:
 def show(df: DataFrame, n: int = 20) -> None:
     """Display helper: first ``n`` rows, untruncated."""
     df.show(n, truncate=False)
-
-
-def with_year_salt(df: DataFrame, buckets: int, cols: list[str]) -> DataFrame:
-    """Deterministic salt column for manual spreading of a hot partition value."""
-    return df.withColumn("_salt", F.pmod(F.xxhash64(*cols), F.lit(buckets)))
