@@ -20,7 +20,7 @@ from tempora.functions.units import (
     wind_bearing,
     wind_speed,
 )
-from tempora.plans.hints import spread
+from tempora.operators.partitioning import spread
 from tempora.schemas import CURRENT_PAYLOAD, MAIN_PAYLOAD, POINT_PAYLOAD, RECORD, RECORD_COLUMNS
 
 # Payload shapes known to the router.

@@ -6,7 +6,8 @@ from contextlib import contextmanager
 
 from pyspark import StorageLevel
 from pyspark.sql import DataFrame
-from pyspark.sql import functions as F
+
+from tempora.operators.partitioning import spread  # noqa: F401  (re-exported hint)
 
 
 @contextmanager
@@ -18,24 +19,3 @@ def persisted(df: DataFrame, level: StorageLevel = StorageLevel.MEMORY_AND_DISK)
         yield cached
     finally:
         cached.unpersist()
-
-
-def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
-    """Repartition only when ``df`` plans fewer partitions than the cluster
-    runs tasks at once (``defaultParallelism``).
-
-    For CPU-heavy per-row work (JSON decoding) on an under-split input, such
-    as one large row group. On a large input the planned partitions already
-    exceed the parallelism and this is a no-op: no shuffle is added at scale.
-    Planning the partition count runs no job."""
-    try:
-        target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
-        planned = df.rdd.getNumPartitions()
-    except Exception:  # no RDD view of the plan (e.g. a Spark Connect session): leave it to Spark
-        return df
-    if planned >= target:
-        return df
-    # Hash of the row's own columns: deterministic on a retried task (unlike a
-    # round-robin split, which needs a full local sort to be), and even unless
-    # rows repeat massively.
-    return df.repartition(target, F.xxhash64(*df.columns))

@@ -33,7 +33,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.plans.hints import spread
+from tempora.operators.partitioning import spread
 from tempora.schemas import RECORD_COLUMNS
 
 # Fault injection on the historical table: (modulus of the row key, defect).
