@@ -40,11 +40,16 @@ def run_once(spark, key: str) -> float:
 def main() -> None:
     spark = local_session(CPUS, shuffle_partitions=CPUS, app="tempora-bench")
     keys = ONLY or list(catalog.QUERIES)
+    errors = {}
     for key in keys:  # warm-up: JIT, file listing caches, unified roots
-        run_once(spark, key)
+        try:
+            run_once(spark, key)
+        except Exception as exc:  # reported, not fatal: the other queries still run
+            errors[key] = str(exc).splitlines()[0][:300]
     timings = {}
     for key in keys:
-        timings[key] = round(statistics.median(run_once(spark, key) for _ in range(RUNS)), 4)
+        if key not in errors:
+            timings[key] = round(statistics.median(run_once(spark, key) for _ in range(RUNS)), 4)
     m = re.search(r"sf([0-9.]+)", SF_DIR)
     out = {
         "metric": "sum_of_median_query_seconds",
@@ -56,6 +61,8 @@ def main() -> None:
         "runs": RUNS,
         "spark": spark.version,
     }
+    if errors:
+        out["errors"] = errors
     spark.stop()
     print(json.dumps(out))
 
