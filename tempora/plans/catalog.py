@@ -14,7 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.operators import analysis, clean, series, unified, vendors
-from tempora.plans import tables
+from tempora.plans import jobs, tables
 from tempora.session import scratch_path
 from tempora.sinks import files
 from tempora.sinks.report import run_report as build_report
@@ -129,6 +129,34 @@ def run_report(spark, sf_dir):
     return build_report(raw, ORDER_LOW, ORDER_HIGH, exact=True)
 
 
+def _landed_orders_csv(spark, sf_dir) -> str:
+    """Orders (with injected defects) landed as header CSV text under the shared folder."""
+    landing = scratch_path(spark, "history-csv")
+    files.write_history_csv(tables.history_from_orders(spark, sf_dir, faults=True), landing)
+    return landing
+
+
+def batch_job_csv(spark, sf_dir):
+    """The batch job end to end: CSV scan (explicit schema) → clean → yearly means → batch root."""
+    base = scratch_path(spark, "batch-job")
+    jobs.batch_job(spark, _landed_orders_csv(spark, sf_dir), base, exact=True)
+    return spark.read.parquet(root_of(base, BATCH))
+
+
+REPORT_FIELDS = ["rows_before_cleaning", "rows_after_cleaning", "rows_removed", "columns", "removal_percentage",
+                 "global_mean_temperature", "global_min_temperature", "global_max_temperature",
+                 "extreme_observations", "datasets_saved"]
+
+
+def notebook_report(spark, sf_dir):
+    """The analysis notebook end to end (clean, cache, seven datasets, report);
+    returns the report's deterministic fields."""
+    out = scratch_path(spark, "notebook")
+    jobs.notebook_job(spark, _landed_orders_csv(spark, sf_dir), out, exact=True, low=ORDER_LOW, high=ORDER_HIGH,
+                      min_records=LINE_MIN_RECORDS)
+    return spark.read.json(f"{out}/{jobs.OUTPUTS['report']}").select(*REPORT_FIELDS)
+
+
 # ------------------------------------------------------------------ streaming
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -319,6 +347,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "mean_by_decade": mean_by_decade,
     "yearly_mean": yearly_mean,
     "run_report": run_report,
+    "batch_job_csv": batch_job_csv,
+    "notebook_report": notebook_report,
     "stream_windows": stream_windows,
     "stream_csv_windows": stream_csv_windows,
     "stream_unified": stream_unified,

@@ -84,7 +84,6 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
             F.lit(after).alias("rows_after_cleaning"),
             F.lit(before - after).alias("rows_removed"),
             F.lit(len(raw.columns)).alias("columns"),
-            F.round(F.lit(100.0 * (before - after) / before) if before else F.lit(None), 2).alias("removal_percentage"),
             F.col("global_mean_temperature"),
             F.round("global_min_temperature", 2).alias("global_min_temperature"),
             F.round("global_max_temperature", 2).alias("global_max_temperature"),
@@ -97,7 +96,7 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
             F.array(*[F.lit(f) for f in ("parquet", "csv", "json")]).alias("formats"),
             F.lit(round(t_transform - t_start, 2)).alias("extract_transform_seconds"),
             F.lit(round(t_load - t_transform, 2)).alias("load_seconds"),
-        )
+        ).withColumn("removal_percentage", clean.half_up_percent("rows_removed", "rows_before_cleaning"))
         write_report(report, out["report"])
     return spark.read.json(out["report"]).first().asDict()
 

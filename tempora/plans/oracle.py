@@ -232,6 +232,27 @@ r AS (SELECT count(*) AS rows_before_cleaning, count(CASE WHEN ok THEN 1 END) AS
 SELECT *, rows_before_cleaning AS rows_extracted, CAST(7 AS INTEGER) AS columns,
        rows_before_cleaning - rows_after_cleaning AS rows_removed,
        {pct('rows_before_cleaning - rows_after_cleaning', 'rows_before_cleaning')} AS removal_percentage
+FROM r""",
+    "batch_job_csv": f"""WITH {ORDERS_FAULTY}
+SELECT CAST("City" AS VARCHAR) AS "City", "Country", CAST(year(date) AS INTEGER) AS year,
+       {xmean('temperature')} AS temperature_moyenne, 'batch' AS source
+FROM orders_parsed
+WHERE temperature IS NOT NULL AND "City" IS NOT NULL AND "Country" IS NOT NULL AND date IS NOT NULL
+GROUP BY "City", "Country", year(date)""",
+    "notebook_report": f"""WITH {ORDERS_FAULTY},
+v AS (SELECT *, (temperature IS NOT NULL AND "City" IS NOT NULL AND "Country" IS NOT NULL
+                 AND date IS NOT NULL) AS ok FROM orders_parsed),
+r AS (SELECT count(*) AS rows_before_cleaning, count(CASE WHEN ok THEN 1 END) AS rows_after_cleaning,
+             {xmean('CASE WHEN ok THEN temperature END')} AS global_mean_temperature,
+             {sround('min(CASE WHEN ok THEN temperature END)', 2)} AS global_min_temperature,
+             {sround('max(CASE WHEN ok THEN temperature END)', 2)} AS global_max_temperature,
+             count(CASE WHEN ok AND (temperature < 5000.0 OR temperature > 495000.0) THEN 1 END) AS extreme_observations
+      FROM v)
+SELECT rows_before_cleaning, rows_after_cleaning, rows_before_cleaning - rows_after_cleaning AS rows_removed,
+       CAST(7 AS BIGINT) AS columns,
+       {pct('rows_before_cleaning - rows_after_cleaning', 'rows_before_cleaning')} AS removal_percentage,
+       global_mean_temperature, global_min_temperature, global_max_temperature, extreme_observations,
+       CAST(7 AS BIGINT) AS datasets_saved
 FROM r""",
     "stream_windows": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_csv_windows": f"WITH {RECORDS} SELECT * FROM closed",

@@ -66,6 +66,14 @@ def write_single_json(summary: DataFrame, path: str) -> None:
     summary.coalesce(1).write.mode("overwrite").json(path)
 
 
+def write_history_csv(raw: DataFrame, directory: str) -> None:
+    """Historical rows → header CSV files, every field as text (the landing
+    format the historical source reads)."""
+    raw.select(*[F.col(c).cast("string").alias(c) for c in raw.columns]).write.mode("overwrite").option(
+        "header", True
+    ).csv(directory)
+
+
 def land_records_csv(records: DataFrame, directory: str) -> None:
     """Records → new CSV files (header, 11 columns) in a stream landing directory.
 
