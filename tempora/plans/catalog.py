@@ -14,6 +14,7 @@ from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
 from tempora.operators import analysis, clean, series, unified, vendors
+from tempora.operators.partitioning import spread
 from tempora.plans import jobs, tables
 from tempora.session import scratch_path
 from tempora.sinks import files
@@ -132,7 +133,7 @@ def run_report(spark, sf_dir):
 def _landed_orders_csv(spark, sf_dir) -> str:
     """Orders (with injected defects) landed as header CSV text under the shared folder."""
     landing = scratch_path(spark, "history-csv")
-    files.write_history_csv(tables.history_from_orders(spark, sf_dir, faults=True), landing)
+    files.write_history_csv(spread(tables.history_from_orders(spark, sf_dir, faults=True)), landing)
     return landing
 
 
@@ -185,7 +186,7 @@ def stream_windows(spark, sf_dir):
 def stream_csv_windows(spark, sf_dir):
     """Events landed as CSV record files, then read back as a CSV file stream."""
     landing = scratch_path(spark, "landing")
-    files.land_records_csv(tables.events_as_records(_events(spark, sf_dir)), landing)
+    files.land_records_csv(spread(tables.events_as_records(_events(spark, sf_dir))), landing)
     stream = read_record_csv_stream(spark, landing, max_files_per_trigger=None)
     windowed = sw.windowed_measures(sw.enrich(stream), exact=True)
     return spark.read.parquet(_run_append(spark, sw.flatten_window(windowed), "stream-csv"))
