@@ -301,6 +301,11 @@ def normalise_routed(spark, sf_dir):
     return vendors.normalise(tables.payloads_from_lineitem(spark, sf_dir), keep=["record_id"])
 
 
+def normalise_rejects(spark, sf_dir):
+    """Rows the router cannot normalise (unknown vendor): kept whole, not dropped."""
+    return vendors.rejects(tables.payloads_from_lineitem(spark, sf_dir)).select("record_id", "vendor", "payload")
+
+
 # ---------------------------------------------------------------- round trips
 
 def roundtrip_parquet(spark, sf_dir):
@@ -370,6 +375,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_current": normalise_current,
     "normalise_main": normalise_main,
     "normalise_routed": normalise_routed,
+    "normalise_rejects": normalise_rejects,
     "roundtrip_parquet": roundtrip_parquet,
     "roundtrip_csv": roundtrip_csv,
     "roundtrip_json": roundtrip_json,

@@ -298,6 +298,8 @@ SELECT event_type, mean_value, CAST(rank() OVER (ORDER BY mean_value DESC) AS IN
             _payload(MAIN_FIELDS, "lineitem", "main_wind", "WHERE l_linenumber % 4 = 2"),
         ]
     ),
+    "normalise_rejects": "SELECT l_orderkey * 8 + l_linenumber AS record_id, 'unknown' AS vendor, '{}' AS payload "
+    "FROM lineitem WHERE l_linenumber % 4 = 3",
     "roundtrip_parquet": f"WITH {ORDERS_CLEAN} SELECT * FROM oc",
     "roundtrip_csv": MEAN_BY_YEAR,
     "roundtrip_json": f"{CITY_MEANS} ORDER BY avg_temperature DESC NULLS LAST, city, country LIMIT 10",
