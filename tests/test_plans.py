@@ -64,3 +64,38 @@ def test_distinct_counts_one_job(spark):
                                                                      "o_orderpriority Country")
     p = plan(distinct_counts(df))
     assert p.count("FileScan") == 1 and "Expand" in p
+
+
+def test_spread_is_noop_when_input_is_split(spark):
+    from tempora.operators.partitioning import spread
+
+    many = spark.range(0, 1000, numPartitions=16)
+    assert spread(many) is many
+    few = spark.range(0, 1000, numPartitions=1)
+    spread_plan = plan(spread(few))
+    assert "hashpartitioning(xxhash64" in spread_plan
+
+
+def test_hot_year_is_split_over_several_files(spark, tmp_path):
+    import os
+
+    from pyspark.sql import functions as F
+
+    from tempora.sinks.files import write_partitioned
+
+    hot = spark.range(0, 200_000, numPartitions=8).select(
+        F.when(F.col("id") % 100 > 0, F.lit(2000)).otherwise(F.lit(1990) + (F.col("id") / 100).cast("long") % 5)
+        .alias("year"),
+        (F.col("id") * 1.5).alias("v"), F.sha2(F.col("id").cast("string"), 256).alias("pad"))
+    old = spark.conf.get("spark.sql.adaptive.advisoryPartitionSizeInBytes")
+    spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", "1m")
+    try:
+        write_partitioned(hot, str(tmp_path / "out"))
+    finally:
+        spark.conf.set("spark.sql.adaptive.advisoryPartitionSizeInBytes", old)
+    hot_files = [f for f in os.listdir(tmp_path / "out" / "year=2000") if f.endswith(".parquet")]
+    cold_dirs = [d for d in os.listdir(tmp_path / "out") if d.startswith("year=") and d != "year=2000"]
+    cold_files = [len([f for f in os.listdir(tmp_path / "out" / d) if f.endswith(".parquet")]) for d in cold_dirs]
+    assert len(hot_files) > 1  # the dominant year is written by several tasks
+    assert cold_dirs and all(n == 1 for n in cold_files)  # small years stay one file each
+    assert spark.read.parquet(str(tmp_path / "out")).count() == 200_000
