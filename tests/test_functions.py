@@ -81,3 +81,10 @@ def test_exact_mean_survives_long_overflow_of_units(spark):
 def test_exact_mean_of_empty_group_is_null(spark):
     df = spark.createDataFrame([(None,)], "v double")
     assert df.agg(mean("v", exact=True).alias("m")).first().m is None
+
+
+def test_default_for_missing_field(spark):
+    from tempora.functions import default
+
+    df = spark.createDataFrame([(None,), (2.5,)], "v double")
+    assert [r.d for r in df.select(default("v", 0.0).alias("d")).collect()] == [0.0, 2.5]
