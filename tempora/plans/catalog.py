@@ -216,7 +216,8 @@ def build_unified(spark: SparkSession, sf_dir: str) -> str:
     files.write_yearly(yearly_mean(spark, sf_dir), root_of(base, BATCH))
     ckpt = scratch_path(spark, "unified-stream-ckpt")
     stream = sw.to_unified(_event_windows(spark, sf_dir))
-    sq.run_to_completion(sq.start_parquet_append(stream, root_of(base, STREAMING), ckpt, available_now=True))
+    sq.run_to_completion(sq.start_parquet_append(stream, root_of(base, STREAMING), ckpt, available_now=True,
+                                                 partition_by=["year"]))
     return base
 
 

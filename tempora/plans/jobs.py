@@ -136,7 +136,8 @@ def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bo
                                                checkpoint=f"{checkpoint_base}/console"))
     if parquet:
         started.append(sq.start_parquet_append(sw.to_unified(windowed), root_of(base, STREAMING),
-                                               f"{checkpoint_base}/parquet", processing_time, available_now))
+                                               f"{checkpoint_base}/parquet", processing_time, available_now,
+                                               partition_by=["year"]))
     return started
 
 

@@ -30,15 +30,19 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 
 
 def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
-                         available_now: bool = False, name: str | None = None) -> StreamingQuery:
+                         available_now: bool = False, name: str | None = None,
+                         partition_by: list[str] | None = None) -> StreamingQuery:
     """Append-mode Parquet sink: each window is written once, after the
-    watermark closes it."""
+    watermark closes it. ``partition_by`` lays the output out in folders
+    (e.g. ``year``) so that readers prune it."""
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
         .option("path", path)
         .option("checkpointLocation", checkpoint)
     )
+    if partition_by:
+        writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, processing_time, available_now).start()

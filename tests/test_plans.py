@@ -99,3 +99,10 @@ def test_hot_year_is_split_over_several_files(spark, tmp_path):
     assert len(hot_files) > 1  # the dominant year is written by several tasks
     assert cold_dirs and all(n == 1 for n in cold_files)  # small years stay one file each
     assert spark.read.parquet(str(tmp_path / "out")).count() == 200_000
+
+
+def test_unified_roots_both_pruned_by_year(spark):
+    p = plan(catalog.recent_top5(spark, SF_SMALL))
+    scans = [line for line in p.splitlines() if "FileScan" in line]
+    assert len(scans) == 2
+    assert all("PartitionFilters: [isnotnull(year" in s and ">= 2000" in s for s in scans)
