@@ -87,3 +87,9 @@ def main(argv: list[str] | None = None) -> int:
             show(reports[name])
         show(table, 10)
     return 0
+
+
+if __name__ == "__main__":  # spark-submit tempora/cli.py …
+    import sys
+
+    sys.exit(main())
