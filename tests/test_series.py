@@ -36,3 +36,21 @@ def test_rank_ties_and_nulls(spark):
     df = spark.createDataFrame(rows, "k string, v double")
     got = {r.k: r.rank for r in series.rank_by_mean(df, ["k"], "v").collect()}
     assert got == {"b": 1, "c": 1, "e": 3, "a": 4, "d": 5}
+
+
+def test_latest_per_key_on_a_stream(spark, tmp_path):
+    from tempora.sources.stream import read_record_csv_stream
+    from tempora.streaming import queries as sq
+    from tempora.streaming import windows as sw
+    from tests.test_stream import land, rec
+
+    landing = str(tmp_path / "in")
+    land(landing, "1.csv", [rec("2024-01-01T10:00:30", temp=10.0), rec("2024-01-01T10:00:40", city="Oslo", temp=1.0)])
+    land(landing, "2.csv", [rec("2024-01-01T10:02:00", temp=12.0)])
+    enriched = sw.enrich(read_record_csv_stream(spark, landing, max_files_per_trigger=1))
+    latest = series.latest_per_key(enriched.select("city", "event_time", "temperature_celsius"), ["city"],
+                                   "event_time")
+    path, ckpt = str(tmp_path / "upd"), str(tmp_path / "ckpt")
+    sq.run_to_completion(sq.start_update_table(latest, path, ckpt, available_now=True))
+    got = {r.city: r.temperature_celsius for r in sq.latest_updates(spark, path, ["city"]).collect()}
+    assert got == {"Paris": 12.0, "Oslo": 1.0}
