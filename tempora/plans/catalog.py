@@ -205,6 +205,16 @@ def stream_update(spark, sf_dir):
     return sq.latest_updates(spark, path, ["window_start", "window_end", "city", "country"])
 
 
+def stream_latest_per_key(spark, sf_dir):
+    """Latest event per user maintained by a stream (update mode, one state row
+    per key), folded back from the update table."""
+    latest = series.latest_per_key(_events_stream(spark, sf_dir), ["user_id"], "ts")
+    path = scratch_path(spark, "stream-latest-out")
+    ckpt = scratch_path(spark, "stream-latest-ckpt")
+    sq.run_to_completion(sq.start_update_table(latest, path, ckpt, available_now=True))
+    return sq.latest_updates(spark, path, ["user_id"])
+
+
 # -------------------------------------------------------------------- unified
 
 _UNIFIED_BASES: dict[tuple[str, str], str] = {}
@@ -360,6 +370,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_csv_windows": stream_csv_windows,
     "stream_unified": stream_unified,
     "stream_update": stream_update,
+    "stream_latest_per_key": stream_latest_per_key,
     "unified": unified_table,
     "source_stats": source_stats,
     "source_filter": source_filter,
