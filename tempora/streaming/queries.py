@@ -31,10 +31,12 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 
 def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
                          available_now: bool = False, name: str | None = None,
-                         partition_by: list[str] | None = None) -> StreamingQuery:
+                         partition_by: list[str] | None = None, retention: str | None = None) -> StreamingQuery:
     """Append-mode Parquet sink: each window is written once, after the
     watermark closes it. ``partition_by`` lays the output out in folders
-    (e.g. ``year``) so that readers prune it."""
+    (e.g. ``year``) so that readers prune it. ``retention`` (e.g. ``"30d"``)
+    ages entries out of the sink's metadata log, which otherwise lists every
+    file ever written and grows with the life of the stream."""
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
@@ -43,6 +45,8 @@ def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_t
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
+    if retention:
+        writer = writer.option("retention", retention)
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, processing_time, available_now).start()

@@ -222,3 +222,14 @@ def test_batch_and_stream_agree_on_closed_windows(spark):
     import datetime as dt
     closed = batch.filter(F.col("window_end") <= F.lit(horizon - dt.timedelta(minutes=2)))
     assert sorted(streamed.collect()) == sorted(closed.collect())
+
+
+def test_sink_retention_option_accepted(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    land(landing, "1.csv", [rec("2024-01-01T10:00:30"), rec("2024-01-01T10:09:00")])
+    stream = read_record_csv_stream(spark, landing)
+    flat = sw.flatten_window(sw.windowed_measures(sw.enrich(stream)))
+    q = sq.start_parquet_append(flat, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True,
+                                retention="30d")
+    sq.run_to_completion(q)
+    assert spark.read.parquet(str(tmp_path / "o")).count() == 1
