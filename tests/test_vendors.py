@@ -53,3 +53,19 @@ def test_router_and_rejects(spark):
     got = sorted((r.source, r.temperature_celsius) for r in vendors.normalise(df).collect())
     assert got == [("current", 5.0), ("main_wind", 7.0), ("point", 1.0)]
     assert vendors.rejects(df).count() == 2
+
+
+def test_normalise_on_a_stream(spark, tmp_path):
+    from pyspark.sql import functions as F
+
+    src = str(tmp_path / "payloads")
+    spark.createDataFrame([(json.dumps({"temp-surface": [274.15]}),)], "value string").write.text(src)
+    stream = spark.readStream.schema("value string").text(src).select(
+        F.lit("2024-01-01T10:00:00").alias("timestamp"), F.lit("Paris").alias("city"), F.lit("France").alias("country"),
+        F.lit(None).cast("double").alias("lat"), F.lit(None).cast("double").alias("lon"),
+        F.lit("point").alias("vendor"), F.col("value").alias("payload"))
+    out = vendors.normalise(stream)
+    q = (out.writeStream.format("memory").queryName("norm_stream").option("checkpointLocation", str(tmp_path / "c"))
+         .trigger(availableNow=True).start())
+    q.awaitTermination()
+    assert [r.temperature_celsius for r in spark.sql("SELECT * FROM norm_stream").collect()] == [1.0]
