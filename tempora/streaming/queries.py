@@ -99,15 +99,16 @@ def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float
     re-raise the first failure.
 
     Waiting on each query in turn would miss a failure of the second one.
-    Terminations from before the call are forgotten first, so only these
-    queries count."""
-    spark.streams.resetTerminated()
+    Terminations of other queries from before the call are forgotten, so only
+    these queries count; one of them having ended already returns at once."""
     try:
-        if any(q.isActive for q in queries):
-            try:
-                spark.streams.awaitAnyTermination(timeout)
-            except Exception:  # reported below from the query itself
-                pass
+        if all(q.isActive for q in queries):
+            spark.streams.resetTerminated()
+            if all(q.isActive for q in queries):  # none ended around the reset
+                try:
+                    spark.streams.awaitAnyTermination(timeout)
+                except Exception:  # reported below from the query itself
+                    pass
     finally:
         stop_all(queries)
     for q in queries:
