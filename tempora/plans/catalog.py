@@ -116,6 +116,11 @@ def mean_by_period(spark, sf_dir):
     return analysis.mean_by_period(_clean_orders(spark, sf_dir), ORDER_PERIODS, exact=True)
 
 
+def mean_by_period_ref(spark, sf_dir):
+    """The reference's own three periods (1900-1949, 1950-1999, 2000+) over orders."""
+    return analysis.mean_by_period(_clean_orders(spark, sf_dir), exact=True)
+
+
 def mean_by_decade(spark, sf_dir):
     return analysis.mean_by_decade(_clean_orders(spark, sf_dir), exact=True)
 
@@ -361,6 +366,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "extremes_high": extremes_high,
     "extremes_low": extremes_low,
     "mean_by_period": mean_by_period,
+    "mean_by_period_ref": mean_by_period_ref,
     "mean_by_decade": mean_by_decade,
     "yearly_mean": yearly_mean,
     "run_report": run_report,

@@ -214,6 +214,12 @@ p AS (SELECT *, CASE WHEN year >= 1996 AND year < 1998 THEN '1996-1997'
                      WHEN year >= 1998 AND year < 2000 THEN '1998-1999'
                      WHEN year >= 2000 THEN '2000+' END AS period FROM oc)
 SELECT period, {xmean('temperature')} AS avg_temperature, count(*) AS num_records
+FROM p WHERE period IS NOT NULL GROUP BY period ORDER BY period""",
+    "mean_by_period_ref": f"""WITH {ORDERS_CLEAN},
+p AS (SELECT *, CASE WHEN year >= 1900 AND year < 1950 THEN '1900-1949'
+                     WHEN year >= 1950 AND year < 2000 THEN '1950-1999'
+                     WHEN year >= 2000 THEN '2000+' END AS period FROM oc)
+SELECT period, {xmean('temperature')} AS avg_temperature, count(*) AS num_records
 FROM p WHERE period IS NOT NULL GROUP BY period ORDER BY period""",
     "mean_by_decade": f"""WITH {ORDERS_CLEAN},
 d AS (SELECT *, CAST((year // 10) * 10 AS INTEGER) AS decade FROM oc)
