@@ -100,6 +100,11 @@ def global_stats(spark, sf_dir):
     return analysis.global_stats(_clean_events(spark, sf_dir), EVENT_LOW, EVENT_HIGH, exact=True)
 
 
+def global_stats_ref(spark, sf_dir):
+    """Global stats with the reference's own extreme bounds (strictly below -20 or above 40)."""
+    return analysis.global_stats(_clean_events(spark, sf_dir), exact=True)
+
+
 def extremes(spark, sf_dir):
     return analysis.extremes(_clean_events(spark, sf_dir), EVENT_LOW, EVENT_HIGH)
 
@@ -362,6 +367,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "coldest": coldest,
     "mean_by_month": mean_by_month,
     "global_stats": global_stats,
+    "global_stats_ref": global_stats_ref,
     "extremes": extremes,
     "extremes_high": extremes_high,
     "extremes_low": extremes_low,

@@ -205,6 +205,11 @@ FROM c""",
 SELECT {xmean('temperature')} AS global_mean_temperature, min(temperature) AS global_min_temperature,
        max(temperature) AS global_max_temperature,
        count(CASE WHEN {EXTREME} THEN 1 END) AS extreme_observations
+FROM ec""",
+    "global_stats_ref": f"""WITH {EVENTS_CLEAN}
+SELECT {xmean('temperature')} AS global_mean_temperature, min(temperature) AS global_min_temperature,
+       max(temperature) AS global_max_temperature,
+       count(CASE WHEN temperature < -20.0 OR temperature > 40.0 THEN 1 END) AS extreme_observations
 FROM ec""",
     "extremes": f"{EXTREME_ROWS} ORDER BY temperature DESC",
     "extremes_high": f"{EXTREME_ROWS} ORDER BY temperature DESC, date, city, country, latitude, longitude LIMIT 10",
