@@ -227,6 +227,10 @@ def stream_latest_per_key(spark, sf_dir):
 
 # -------------------------------------------------------------------- unified
 
+# The unified roots (batch yearly means + the stream's rows) are built once per
+# Spark application and data directory, then shared by the seven queries that
+# report on them. They are written tables under the shared folder, so every
+# report reads durable data rather than recomputing the stream.
 _UNIFIED_BASES: dict[tuple[str, str], str] = {}
 
 
