@@ -44,8 +44,10 @@ def windowed_measures(enriched: DataFrame, window: str = WINDOW, watermark: str
     """Per (window, keys): rows, mean temperature (2 dp), max, min and the
     unrounded means of wind, humidity and pressure.
 
-    With a watermark the state is bounded: a window's state is dropped once the
-    watermark passes its end; rows behind the watermark are dropped. Rows
+    With a watermark the state is bounded: a window is emitted (append mode)
+    and its state dropped once the watermark passes its end. A row is dropped
+    as late when it is behind the watermark of the previous micro-batch (Spark
+    4 semantics; rows behind only the current one are still aggregated). Rows
     without an event time belong to no window."""
     src = enriched.withWatermark("event_time", watermark) if watermark else enriched
     return src.groupBy(F.window("event_time", window), *keys).agg(
