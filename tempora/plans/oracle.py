@@ -135,6 +135,11 @@ u AS (
   SELECT * FROM ({STREAM_UNIFIED}) s
 )"""
 
+LATEST_PER_USER = """SELECT user_id, ts, event_id, event_type, value, props FROM (
+  SELECT *, row_number() OVER (PARTITION BY user_id
+                               ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC, props DESC) AS rn
+  FROM events) WHERE rn = 1"""
+
 # ------------------------------------------------------------------ payloads
 
 LINE_CTX = (
@@ -282,14 +287,8 @@ GROUP BY "City", "Country" ORDER BY temp_moy DESC NULLS LAST, "City", "Country"
     "source_compare": f"""WITH {UNIFIED}
 SELECT source, count(*) AS nb_enregistrements, {xmean('temperature_moyenne')} AS temp_moyenne_globale
 FROM u GROUP BY source HAVING (SELECT count(DISTINCT source) FROM u) > 1""",
-    "stream_latest_per_key": """SELECT user_id, ts, event_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id
-                               ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC, props DESC) AS rn
-  FROM events) WHERE rn = 1""",
-    "latest_per_key": """SELECT user_id, ts, event_id, event_type, value, props FROM (
-  SELECT *, row_number() OVER (PARTITION BY user_id
-                               ORDER BY ts DESC, event_id DESC, event_type DESC, value DESC, props DESC) AS rn
-  FROM events) WHERE rn = 1""",
+    "stream_latest_per_key": LATEST_PER_USER,
+    "latest_per_key": LATEST_PER_USER,
     "stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
        min(value) AS min_value, count(*) AS n FROM events GROUP BY event_type""",
     "evolution": f"""WITH d AS (
