@@ -225,6 +225,16 @@ def stream_latest_per_key(spark, sf_dir):
     return sq.latest_updates(spark, path, ["user_id"])
 
 
+def stream_stats_per_key(spark, sf_dir):
+    """Mean (2 dp, exact), max, min and count per event type maintained by a
+    stream (update mode), folded back from the update table."""
+    stats = series.stats_per_key(_events_stream(spark, sf_dir), ["event_type"], "value", exact=True)
+    path = scratch_path(spark, "stream-stats-out")
+    ckpt = scratch_path(spark, "stream-stats-ckpt")
+    sq.run_to_completion(sq.start_update_table(stats, path, ckpt, available_now=True))
+    return sq.latest_updates(spark, path, ["event_type"])
+
+
 # -------------------------------------------------------------------- unified
 
 # The unified roots (batch yearly means + the stream's rows) are built once per
@@ -387,6 +397,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_unified": stream_unified,
     "stream_update": stream_update,
     "stream_latest_per_key": stream_latest_per_key,
+    "stream_stats_per_key": stream_stats_per_key,
     "unified": unified_table,
     "source_stats": source_stats,
     "source_filter": source_filter,

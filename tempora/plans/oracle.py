@@ -289,6 +289,8 @@ SELECT source, count(*) AS nb_enregistrements, {xmean('temperature_moyenne')} AS
 FROM u GROUP BY source HAVING (SELECT count(DISTINCT source) FROM u) > 1""",
     "stream_latest_per_key": LATEST_PER_USER,
     "latest_per_key": LATEST_PER_USER,
+    "stream_stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
+       min(value) AS min_value, count(*) AS n FROM events GROUP BY event_type""",
     "stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
        min(value) AS min_value, count(*) AS n FROM events GROUP BY event_type""",
     "evolution": f"""WITH d AS (
