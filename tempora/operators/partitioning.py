@@ -13,7 +13,8 @@ def spread(df: DataFrame, min_partitions: int | None = None) -> DataFrame:
     For CPU-heavy per-row work (JSON decoding) on an under-split input, such
     as one large row group. On a large input the planned partitions already
     exceed the parallelism and this is a no-op: no shuffle is added at scale.
-    Planning the partition count runs no job."""
+    Planning the partition count runs no job. The hash covers every column of
+    ``df``, so project to the needed columns first (no pruning passes it)."""
     try:
         target = min_partitions or df.sparkSession.sparkContext.defaultParallelism
         planned = df.rdd.getNumPartitions()

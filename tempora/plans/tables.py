@@ -193,6 +193,9 @@ def main_wind_payload(li: DataFrame) -> Column:
     )
 
 
+_PAYLOAD_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_extendedprice", "l_discount",
+                    "l_tax", "l_returnflag", "l_linestatus", "l_shipdate"]
+
 PAYLOADS = {"point": point_payload, "current": current_payload, "main_wind": main_wind_payload}
 
 
@@ -201,7 +204,8 @@ def payloads_from_lineitem(spark: SparkSession, sf_dir: str, vendor: str | None
 
     With ``vendor`` every row has that shape; without, the shape is chosen by
     ``l_linenumber mod 4`` (point, current, main_wind, and an unknown vendor)."""
-    li = spread(table(spark, sf_dir, "lineitem"))  # JSON building is CPU-heavy per row
+    # only the columns the payloads use, then spread: JSON building is CPU-heavy per row
+    li = spread(table(spark, sf_dir, "lineitem").select(*_PAYLOAD_COLUMNS))
     ctx = _line_context(li)
     if vendor is not None:
         return li.select(*ctx, F.lit(vendor).alias("vendor"), PAYLOADS[vendor](li).alias("payload"))
