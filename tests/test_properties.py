@@ -16,7 +16,8 @@ ROW = st.tuples(
 )
 SCHEMA = ("dt string, AverageTemperature string, AverageTemperatureUncertainty string, City string, "
           "Country string")
-COMMON = dict(max_examples=15, deadline=None, suppress_health_check=[HealthCheck.function_scoped_fixture])
+COMMON = dict(max_examples=15, deadline=None, derandomize=True,
+              suppress_health_check=[HealthCheck.function_scoped_fixture, HealthCheck.too_slow])
 
 
 def frame(spark, rows):
