@@ -88,3 +88,13 @@ def test_default_for_missing_field(spark):
 
     df = spark.createDataFrame([(None,), (2.5,)], "v double")
     assert [r.d for r in df.select(default("v", 0.0).alias("d")).collect()] == [0.0, 2.5]
+
+
+def test_exact_mean_with_wider_scale(spark):
+    # three-decimal inputs: units of 0.001, result still rounded HALF_UP to 2 dp
+    df = spark.createDataFrame([(12.345,), (12.344,), (None,)], "v double")
+    row = df.agg(mean("v", exact=True, scale=3).alias("m"), mean("v", decimals=None, exact=True, scale=3).alias("u"))
+    r = row.first()
+    assert r.m == 12.34 and abs(r.u - 12.3445) < 1e-12  # 12.3445 → 12.34 (only 4 decimals matter)
+    with pytest.raises(ValueError):
+        mean("v", decimals=3, exact=True, scale=2)
