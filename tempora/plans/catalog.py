@@ -171,8 +171,16 @@ def notebook_report(spark, sf_dir):
 # ------------------------------------------------------------------ streaming
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    schema = tables.table(spark, sf_dir, "events").schema
-    return read_parquet_stream(spark, sf_dir, schema, glob="events.parquet",
+    """``events`` as a file stream. A single Parquet file is streamed from its
+    folder through a name filter (a file stream needs a folder); a folder of
+    part files is streamed as it is."""
+    batch = tables.table(spark, sf_dir, "events")
+    files = batch.inputFiles()
+    if len(files) == 1 and files[0].rstrip("/").endswith("/events.parquet"):
+        directory, glob = sf_dir, "events.parquet"
+    else:
+        directory, glob = f"{sf_dir}/events.parquet", None
+    return read_parquet_stream(spark, directory, batch.schema, glob=glob,
                                max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER)
 
 
