@@ -235,3 +235,14 @@ def test_sink_retention_option_accepted(spark, tmp_path):
                                 retention="30d")
     sq.run_to_completion(q)
     assert spark.read.parquet(str(tmp_path / "o")).count() == 1
+
+
+def test_event_stream_from_file_or_folder(spark, tmp_path):
+    from tempora.plans import catalog
+    from tests.conftest import SF_SMALL
+
+    folder = str(tmp_path / "sf")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
+    a = sorted(catalog.stream_windows(spark, SF_SMALL).collect())
+    b = sorted(catalog.stream_windows(spark, folder).collect())
+    assert a == b and len(a) > 0
