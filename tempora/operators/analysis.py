@@ -135,16 +135,16 @@ def mean_by_decade(clean: DataFrame, exact: bool = False, value: str = "temperat
 
 
 def yearly_means(parsed: DataFrame, exact: bool = False, city: str = "City", country: str = "Country",
-                 value: str = "temperature", source: str = "batch") -> DataFrame:
+                 value: str = "temperature", source: str = "batch", with_grain: bool = False) -> DataFrame:
     """The batch job's core: mean per (City, Country, year), tagged with its source.
 
     ``parsed`` is the output of ``parse_history`` (or the clean table with the
-    matching names). Invalid rows are dropped first."""
+    matching names). Invalid rows are dropped first. ``with_grain`` adds ``n``,
+    the number of measurements behind each mean."""
     kept = parsed.filter(
         F.col(value).isNotNull() & F.col(city).isNotNull() & F.col(country).isNotNull() & F.col("year").isNotNull()
     )
-    return (
-        kept.groupBy(city, country, "year")
-        .agg(mean(value, exact=exact).alias("temperature_moyenne"))
-        .withColumn("source", F.lit(source))
-    )
+    measures = [mean(value, exact=exact).alias("temperature_moyenne")]
+    if with_grain:
+        measures.append(F.count(F.lit(1)).alias("n"))
+    return kept.groupBy(city, country, "year").agg(*measures).withColumn("source", F.lit(source))

@@ -24,7 +24,7 @@ from tempora.streaming import windows as sw
 
 
 def batch_job(spark: SparkSession, csv_path: str, base: str, exact: bool = False,
-              rerun_years_only: bool = False) -> dict:
+              rerun_years_only: bool = False, with_grain: bool = False) -> dict:
     """CSV → parse → mean per (City, Country, year) → the batch root.
 
     One scan of the input: explicit schema (no inference pass), and row counts
@@ -33,7 +33,8 @@ def batch_job(spark: SparkSession, csv_path: str, base: str, exact: bool = False
     parsed = clean.parse_history(read_history_csv(spark, csv_path))
     valid = clean.is_valid("City", "Country")
     observed = parsed.observe(obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after"))
-    files.write_yearly(analysis.yearly_means(observed, exact=exact), root_of(base, BATCH), rerun_years_only)
+    yearly = analysis.yearly_means(observed, exact=exact, with_grain=with_grain)
+    files.write_yearly(yearly, root_of(base, BATCH), rerun_years_only)
     counts = dict(obs.get)
     counts["rows_removed"] = counts["rows_before"] - counts["rows_after"]
     return counts
@@ -119,13 +120,15 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
 
 def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bool = True, parquet: bool = True,
                  processing_time: str = sw.TRIGGER, available_now: bool = False, window: str = sw.WINDOW,
-                 watermark: str = sw.WATERMARK, state_partitions: int | None = None) -> list:
+                 watermark: str = sw.WATERMARK, state_partitions: int | None = None,
+                 with_grain: bool = False) -> list:
     """Windowed measures of a record stream (CSV files, Parquet or Kafka — any
     streaming DataFrame with the record columns), written by two queries with
     their own checkpoints: console/update and Parquet/append to the streaming root.
     Rows without event time or temperature are counted per batch
     (``observedMetrics["record_quality"]``).
 
+    ``with_grain`` also writes ``window_start`` and ``n`` with every row.
     ``state_partitions`` sets the number of state partitions for checkpoints
     created now (a checkpoint keeps its count for life, whatever the session
     says later); size it for the largest expected key set."""
@@ -138,17 +141,21 @@ def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bo
         started.append(sq.start_console_update(windowed, processing_time, available_now,
                                                checkpoint=f"{checkpoint_base}/console"))
     if parquet:
-        started.append(sq.start_parquet_append(sw.to_unified(windowed), root_of(base, STREAMING),
-                                               f"{checkpoint_base}/parquet", processing_time, available_now,
-                                               partition_by=["year"]))
+        rows = sw.to_unified(windowed, with_grain=with_grain)
+        started.append(sq.start_parquet_append(rows, root_of(base, STREAMING), f"{checkpoint_base}/parquet",
+                                               processing_time, available_now, partition_by=["year"]))
     return started
 
 
 def reader_job(spark: SparkSession, base: str, since: int = unified.RECENT_SINCE, k: int = unified.RECENT_TOP,
-               fallbacks=()) -> dict[str, DataFrame]:
-    """The unified table's reports, as DataFrames (nothing is collected)."""
-    u = read_unified(spark, base, fallbacks=fallbacks)
-    return {
+               fallbacks=(), with_grain: bool = False) -> dict[str, DataFrame]:
+    """The unified table's reports, as DataFrames (nothing is collected).
+
+    ``with_grain`` adds ``weighted``: the mean per source weighted by the
+    number of measurements behind each row (roots written with grain)."""
+    u = read_unified(spark, base, fallbacks=fallbacks, with_grain=with_grain)
+    extra = {"weighted": unified.weighted_mean_by(u, ["source"])} if with_grain else {}
+    return extra | {
         "table": u,
         "stats": unified.source_stats(u),
         "distinct": unified.distinct_counts(u),

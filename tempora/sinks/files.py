@@ -45,9 +45,14 @@ def write_yearly(yearly: DataFrame, path: str, rerun_years_only: bool = False) -
     writer.parquet(path)
 
 
+GRAIN_COLUMNS = ["window_start", "n"]
+
+
 def as_unified(df: DataFrame) -> DataFrame:
-    """Project and cast to the unified table's 5 typed columns."""
-    return df.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in UNIFIED.fields])
+    """Project and cast to the unified table's 5 typed columns, keeping the
+    optional grain columns (``window_start``, ``n``) when present."""
+    cols = [F.col(f.name).cast(f.dataType).alias(f.name) for f in UNIFIED.fields]
+    return df.select(*cols, *[c for c in GRAIN_COLUMNS if c in df.columns])
 
 
 def ordered(yearly: DataFrame) -> DataFrame:

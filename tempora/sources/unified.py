@@ -10,6 +10,7 @@ from __future__ import annotations
 
 from pyspark.errors import AnalysisException
 from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import functions as F
 
 from tempora.schemas import UNIFIED
 
@@ -30,16 +31,29 @@ def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
         raise
 
 
-def read_unified(spark: SparkSession, base: str, sources=(BATCH, STREAMING), fallbacks=()) -> DataFrame:
+GRAIN = [("window_start", "timestamp"), ("n", "long")]
+
+
+def read_unified(spark: SparkSession, base: str, sources=(BATCH, STREAMING), fallbacks=(),
+                 with_grain: bool = False) -> DataFrame:
     """Union of every existing source root under ``base``; the first existing
-    fallback base is tried when ``base`` has none. Empty (typed) when nothing exists."""
+    fallback base is tried when ``base`` has none. Empty (typed) when nothing exists.
+
+    ``with_grain`` also returns ``window_start`` and ``n`` (null where a root
+    was written without them), for means weighted by measurement counts."""
+    def shape(p):
+        cols = [p[f.name].cast(f.dataType).alias(f.name) for f in UNIFIED.fields]
+        if with_grain:
+            cols += [(p[c] if c in p.columns else F.lit(None)).cast(t).alias(c) for c, t in GRAIN]
+        return p.select(*cols)
+
     for candidate in (base, *fallbacks):
         parts = [_try_read(spark, root_of(candidate, s)) for s in sources]
-        parts = [p.select(*[p[f.name].cast(f.dataType).alias(f.name) for f in UNIFIED.fields])
-                 for p in parts if p is not None]
+        parts = [shape(p) for p in parts if p is not None]
         if parts:
             out = parts[0]
             for p in parts[1:]:
                 out = out.unionByName(p)
             return out
-    return spark.createDataFrame([], UNIFIED)
+    empty = spark.createDataFrame([], UNIFIED)
+    return shape(empty) if with_grain else empty

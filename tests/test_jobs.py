@@ -53,3 +53,22 @@ def test_consumer_and_reader(spark, tmp_path):
     r = jobs.reader_job(spark, base, since=1900)
     assert {x.source: x.nb_lignes for x in r["stats"].collect()} == {"batch": 3, "streaming": 1}
     assert r["compare"].count() == 2 and r["streaming"].count() == 1
+
+
+def test_grain_carried_to_weighted_means(spark, tmp_path):
+    landing = str(tmp_path / "in")
+    write_text(f"{landing}/1.csv", REC_HEADER + rec("2024-01-01T10:00:10", temp=10.0) + rec("2024-01-01T10:00:20", temp=20.0)
+               + rec("2024-01-01T10:00:30", temp=30.0) + rec("2024-01-01T10:01:10", temp=100.0)
+               + rec("2024-01-01T10:09:00", temp=0.0))
+    base = str(tmp_path / "u")
+    for q in jobs.consumer_job(read_record_csv_stream(spark, landing), base, str(tmp_path / "ckpt"),
+                               console=False, available_now=True, with_grain=True):
+        sq.run_to_completion(q)
+    jobs.batch_job(spark, history_csv(tmp_path), base, with_grain=True)
+    r = jobs.reader_job(spark, base, since=1900, with_grain=True)
+    weighted = {x.source: x.temp_moy_ponderee for x in r["weighted"].collect()}
+    # streaming: windows (3 rows, mean 20) and (1 row, 100) → (3·20 + 100) / 4 = 40, the mean of the 4 raw rows
+    assert weighted["streaming"] == 40.0
+    plain = {x.source: x.temp_moyenne_globale for x in r["compare"].collect()}
+    assert plain["streaming"] == 60.0  # the reference's unweighted mean of means
+    assert r["table"].columns[-2:] == ["window_start", "n"]
