@@ -1,10 +1,11 @@
 """Command-line launcher for the jobs (``python -m tempora …`` or ``spark-submit``).
 
-    python -m tempora batch     --input CSV_PATH --base ROOT [--exact] [--rerun-years-only]
+    python -m tempora batch     --input CSV_PATH --base ROOT [--exact] [--rerun-years-only] [--with-grain]
     python -m tempora notebook  --input CSV_PATH --out DIR [--exact]
     python -m tempora consumer  --base ROOT --checkpoints DIR (--input LANDING_DIR | --kafka SERVERS --topic T)
                                 [--no-console] [--no-parquet] [--available-now] [--state-partitions N]
-    python -m tempora read      --base ROOT [--source batch|streaming] [--since YEAR]
+                                [--with-grain]
+    python -m tempora read      --base ROOT [--source batch|streaming] [--since YEAR] [--with-grain]
 
 The session comes from the environment (``spark-submit`` settings); ``--master``
 is only for runs outside ``spark-submit``.
@@ -35,6 +36,7 @@ def main(argv: list[str] | None = None) -> int:
     batch.add_argument("--base", required=True)
     batch.add_argument("--exact", action="store_true")
     batch.add_argument("--rerun-years-only", action="store_true")
+    batch.add_argument("--with-grain", action="store_true", help="also write n (measurements per row)")
 
     nb = sub.add_parser("notebook", help="profile, clean, analyse; seven datasets and a report")
     nb.add_argument("--input", required=True)
@@ -51,11 +53,13 @@ def main(argv: list[str] | None = None) -> int:
     cons.add_argument("--no-parquet", action="store_true")
     cons.add_argument("--available-now", action="store_true")
     cons.add_argument("--state-partitions", type=int, default=None)
+    cons.add_argument("--with-grain", action="store_true", help="also write window_start and n")
 
     rd = sub.add_parser("read", help="reports over the unified batch + streaming table")
     rd.add_argument("--base", required=True)
     rd.add_argument("--source", choices=["batch", "streaming"], default=None)
     rd.add_argument("--since", type=int, default=2010)
+    rd.add_argument("--with-grain", action="store_true", help="also report means weighted by n")
 
     args = parser.parse_args(argv)
     spark = _session(args.master)
@@ -64,7 +68,8 @@ def main(argv: list[str] | None = None) -> int:
     from tempora.streaming.queries import await_any
 
     if args.command == "batch":
-        print(json.dumps(jobs.batch_job(spark, args.input, args.base, args.exact, args.rerun_years_only)))
+        print(json.dumps(jobs.batch_job(spark, args.input, args.base, args.exact, args.rerun_years_only,
+                                        with_grain=args.with_grain)))
     elif args.command == "notebook":
         print(json.dumps(jobs.notebook_job(spark, args.input, args.out, exact=args.exact), default=str))
     elif args.command == "consumer":
@@ -77,13 +82,15 @@ def main(argv: list[str] | None = None) -> int:
         stream = read_record_csv_stream(spark, args.input) if args.input else read_kafka(spark, args.kafka, args.topic)
         started = jobs.consumer_job(stream, args.base, args.checkpoints, console=not args.no_console,
                                     parquet=not args.no_parquet, available_now=args.available_now,
-                                    state_partitions=args.state_partitions)
+                                    state_partitions=args.state_partitions, with_grain=args.with_grain)
         await_any(spark, started)
     elif args.command == "read":
-        reports = jobs.reader_job(spark, args.base, since=args.since)
+        reports = jobs.reader_job(spark, args.base, since=args.since, with_grain=args.with_grain)
         table = reports[args.source] if args.source else reports["table"]
         table.printSchema()
-        for name in ("stats", "distinct", "recent_top", "compare"):
+        for name in ("stats", "distinct", "recent_top", "compare", "weighted"):
+            if name not in reports:
+                continue
             show(reports[name])
         show(table, 10)
     return 0
