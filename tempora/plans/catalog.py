@@ -92,6 +92,20 @@ def coldest(spark, sf_dir):
     return analysis.coldest(_line_city_means(spark, sf_dir))
 
 
+def _supplier_city_means(spark, sf_dir):
+    """Suppliers as cities, with the reference's own threshold (more than 100 rows)."""
+    raw = tables.history_from_lineitem(spark, sf_dir, city="l_suppkey")
+    return analysis.city_means(clean.clean_history(raw), exact=True)
+
+
+def hottest_ref(spark, sf_dir):
+    return analysis.hottest(_supplier_city_means(spark, sf_dir))
+
+
+def coldest_ref(spark, sf_dir):
+    return analysis.coldest(_supplier_city_means(spark, sf_dir))
+
+
 def mean_by_month(spark, sf_dir):
     return analysis.mean_by_month(_clean_orders(spark, sf_dir), exact=True)
 
@@ -387,6 +401,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "last_years": last_years,
     "hottest": hottest,
     "coldest": coldest,
+    "hottest_ref": hottest_ref,
+    "coldest_ref": coldest_ref,
     "mean_by_month": mean_by_month,
     "global_stats": global_stats,
     "global_stats_ref": global_stats_ref,

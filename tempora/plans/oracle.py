@@ -94,6 +94,12 @@ CITY_MEANS = (
     "FROM lc GROUP BY city, country HAVING count(*) > 10"
 )
 
+SUPPLIER_MEANS = (
+    f"SELECT l_suppkey AS city, l_returnflag AS country, {xmean('l_extendedprice')} AS avg_temperature, "
+    "count(*) AS num_records FROM lineitem WHERE l_shipdate IS NOT NULL "
+    "GROUP BY l_suppkey, l_returnflag HAVING count(*) > 100"
+)
+
 EXTREME_ROWS = f"WITH {EVENTS_CLEAN} SELECT date, city, country, temperature, latitude, longitude FROM ec WHERE {EXTREME}"
 
 YEARLY = (
@@ -205,6 +211,8 @@ FROM c""",
     "last_years": f"WITH {ORDERS_CLEAN} " + _by("year", "year", "oc", "year DESC LIMIT 10"),
     "hottest": f"{CITY_MEANS} ORDER BY avg_temperature DESC NULLS LAST, city, country LIMIT 10",
     "coldest": f"{CITY_MEANS} ORDER BY avg_temperature ASC NULLS FIRST, city, country LIMIT 10",
+    "hottest_ref": f"{SUPPLIER_MEANS} ORDER BY avg_temperature DESC NULLS LAST, city, country LIMIT 10",
+    "coldest_ref": f"{SUPPLIER_MEANS} ORDER BY avg_temperature ASC NULLS FIRST, city, country LIMIT 10",
     "mean_by_month": f"WITH {ORDERS_CLEAN} " + _by("month", "month", "oc", "month"),
     "global_stats": f"""WITH {EVENTS_CLEAN}
 SELECT {xmean('temperature')} AS global_mean_temperature, min(temperature) AS global_min_temperature,

@@ -90,13 +90,15 @@ def history_from_orders(spark: SparkSession, sf_dir: str, faults: bool = False)
     )
 
 
-def history_from_lineitem(spark: SparkSession, sf_dir: str) -> DataFrame:
+def history_from_lineitem(spark: SparkSession, sf_dir: str, city: str = "l_partkey") -> DataFrame:
+    """``city`` picks the key standing for the city: parts (many small groups)
+    or suppliers (``l_suppkey``: groups of about 200 lines)."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         _landed_date("l_shipdate").alias("dt"),
         F.col("l_extendedprice").alias("AverageTemperature"),
         F.col("l_tax").alias("AverageTemperatureUncertainty"),
-        F.col("l_partkey").alias("City"),
+        F.col(city).alias("City"),
         F.col("l_returnflag").alias("Country"),
         F.col("l_linestatus").alias("Latitude"),
         F.col("l_orderkey").cast("string").alias("Longitude"),
