@@ -106,3 +106,10 @@ def test_unified_roots_both_pruned_by_year(spark):
     scans = [line for line in p.splitlines() if "FileScan" in line]
     assert len(scans) == 2
     assert all("PartitionFilters: [isnotnull(year" in s and ">= 2000" in s for s in scans)
+
+
+def test_no_cross_joins_or_python_in_any_query(spark):
+    for key, fn in catalog.QUERIES.items():
+        p = plan(fn(spark, SF_SMALL))
+        for bad in ("CartesianProduct", "BroadcastNestedLoopJoin", "BatchEvalPython", "ArrowEvalPython"):
+            assert bad not in p, (key, bad)
