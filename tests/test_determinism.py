@@ -7,7 +7,8 @@ import pytest
 from tempora.plans import catalog
 from tests.conftest import SF_SMALL
 
-KEYS = ["yearly_mean", "mean_by_country", "hottest", "coldest", "global_stats", "extremes_high", "evolution",
+KEYS = ["yearly_mean", "mean_by_country", "hottest", "coldest", "hottest_ref", "coldest_ref", "global_stats",
+        "extremes_high", "evolution",
         "rank_by_mean", "latest_per_key", "stats_per_key", "normalise_routed", "run_report"]
 
 
