@@ -8,6 +8,8 @@ of the input can clash with one of ours.
 
 from __future__ import annotations
 
+import os
+
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -41,5 +43,37 @@ def cut(df: DataFrame, name: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def on_workers(df: DataFrame) -> DataFrame:
+    """``df``; from now on Python workers find this package where the driver has
+    it, whatever folder the session was started in. On a cluster whose machines
+    don't share that path, pass the package with ``--py-files`` as usual."""
+    root = os.path.dirname(os.path.dirname(os.path.dirname(os.path.abspath(__file__))))
+    env = df.sparkSession.sparkContext.environment
+    known = [x for x in env.get("PYTHONPATH", "").split(os.pathsep) if x]
+    if root not in known:
+        env["PYTHONPATH"] = os.pathsep.join([*known, root])
+    return df
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
+
+
+BLOCKS = 64  # first-level merges of a frequency summary
+
+
+def frequent(values: DataFrame, column: str, winners: int = 1000, tracked: int = 8192) -> DataFrame:
+    """(item, estimate, n): at most ``winners`` frequent values of a column and
+    the number n of rows, from a Misra-Gries summary.
+
+    Spark's ``approx_top_k`` functions keep such a summary in each task: a
+    fixed number of counters, lowered together when they run out, with an error
+    that falls with their number. Two levels keep what one task merges bounded.
+    The merge has a grouping key (always 0) because it cannot merge nothing, as
+    an aggregation without one would in tasks that have no rows."""
+    parts = values.groupBy(F.pmod(F.spark_partition_id(), F.lit(BLOCKS)).alias("block")).agg(
+        F.expr(f"approx_top_k_accumulate({column}, {tracked})").alias("summary"), F.count(F.lit(1)).alias("n")
+    )
+    merged = parts.groupBy(F.pmod("block", F.lit(1))).agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"), F.sum("n").alias("n"))
+    top = merged.select("n", F.explode(F.expr(f"approx_top_k_estimate(summary, {winners})")).alias("top"))
+    return top.select(F.col("top.item").alias("item"), F.col("top.count").alias("estimate"), "n")

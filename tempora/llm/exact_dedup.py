@@ -3,10 +3,7 @@
 1. Every text becomes its SHA-256 digest. The narrow table (doc_id, digest)
    is written once; the texts are not read again for the grouping.
 2. A Misra-Gries summary of the digests, kept by each task and merged in two
-   levels, names at most ``winners`` frequent digests. Spark's
-   ``approx_top_k`` is that summary: a fixed number of counters which are
-   lowered together when they run out, with a guaranteed error that falls with
-   the number of counters. The two levels keep what one task merges bounded.
+   levels, names at most ``winners`` frequent digests (``common.frequent``).
 3. The named digests are counted exactly. Those that really hold more than
    ``share`` of the rows, at most ``winners`` rows, are broadcast. Their copies
    are dealt with where they are read and are never shuffled.
@@ -26,10 +23,7 @@ from __future__ import annotations
 from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
-from tempora.llm.common import cut, text_of, unfold, with_row
-
-BLOCKS = 64  # first-level merges of the summary
-
+from tempora.llm.common import cut, frequent, text_of, unfold, with_row
 
 def _digest() -> Column:
     return F.unhex(F.sha2(text_of().cast("binary"), 256))
@@ -38,13 +32,8 @@ def _digest() -> Column:
 def heavy_digests(keyed: DataFrame, winners: int = 1000, tracked: int = 8192, share: float = 1 / 1024) -> DataFrame:
     """(digest, heavy_keep, heavy_size) of the digests in ``keyed`` (doc_id,
     digest) that hold more than ``share`` of its rows; at most ``winners`` rows."""
-    blocks = (
-        keyed.groupBy(F.pmod(F.spark_partition_id(), F.lit(BLOCKS)).alias("block"))
-        .agg(F.expr(f"approx_top_k_accumulate(hex(digest), {tracked})").alias("summary"), F.count(F.lit(1)).alias("n"))
-    )
-    merged = blocks.agg(F.expr(f"approx_top_k_combine(summary, {tracked})").alias("summary"), F.sum("n").alias("n")).where("n > 0")
-    named = merged.select("n", F.explode(F.expr(f"approx_top_k_estimate(summary, {winners})")).alias("top")).select(
-        F.unhex("top.item").alias("digest"), F.greatest(F.lit(2), F.ceil(F.col("n") * share)).alias("least")
+    named = frequent(keyed.select(F.hex("digest").alias("item")), "item", winners, tracked).select(
+        F.unhex("item").alias("digest"), F.greatest(F.lit(2), F.ceil(F.col("n") * share)).alias("least")
     )
     exact = (
         keyed.join(F.broadcast(named), "digest")  # at most `winners` rows

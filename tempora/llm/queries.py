@@ -2,18 +2,21 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, mixing, simhash, substring_dedup
+from tempora.llm import exact_dedup, mixing, packing, simhash, substring_dedup, topk_search
 from tempora.llm.common import table
 
 QUERIES = {
+    "op1_pattern_packing": lambda spark, sf_dir: packing.pack(table(spark, sf_dir, "documents")),
     "op3_exact_dedup": lambda spark, sf_dir: exact_dedup.exact_groups(table(spark, sf_dir, "documents")),
     "op5_simhash": lambda spark, sf_dir: simhash.near_groups(table(spark, sf_dir, "documents")),
     "op7_mix_sources": lambda spark, sf_dir: mixing.mix_report(table(spark, sf_dir, "documents")),
+    "op8_topk_search": lambda spark, sf_dir: topk_search.top_k(table(spark, sf_dir, "embeddings")),
     "op10_substring_dedup": lambda spark, sf_dir: substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("repeats"),
 }
 
 SQL = {
     "op3_exact_dedup": exact_dedup.ORACLE.format(documents="documents"),
     "op7_mix_sources": mixing.ORACLE.format(documents="documents"),
+    "op8_topk_search": topk_search.ORACLE.format(embeddings="embeddings"),
     "op10_substring_dedup": substring_dedup.ORACLE.format(documents="documents"),
 }

@@ -42,7 +42,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh64_intdigest
 
-from tempora.llm.common import cut, unfold, with_row
+from tempora.llm.common import cut, on_workers, unfold, with_row
 from tempora.llm.graph import components
 
 SHINGLE = 4
@@ -82,7 +82,7 @@ def fingerprints(docs: DataFrame, shingle: int = SHINGLE) -> DataFrame:
             found = np.array([fingerprint(x.as_py(), shingle) for x in batch.column("text")], np.uint64).view(np.int64)
             yield pa.RecordBatch.from_arrays([batch.column("doc_id"), batch.column("text_key"), pa.array(found, pa.int64())], ["doc_id", "text_key", "fp"])
 
-    narrow = docs.select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
+    narrow = on_workers(docs).select("doc_id", F.xxhash64("text").alias("text_key"), F.col("text").cast("binary").alias("text"))
     kind = narrow.schema["doc_id"].dataType.simpleString()
     return narrow.mapInArrow(each, f"doc_id {kind}, text_key long, fp long")
 
@@ -157,7 +157,7 @@ def links(points: DataFrame, distance: int = DISTANCE) -> DataFrame:
         ok = np.bitwise_count(a ^ b) <= distance
         return pa.table({"a": a[ok].view(np.int64), "b": b[ok].view(np.int64)})
 
-    return table.groupBy("prefix").applyInArrow(each, "a long, b long").distinct()
+    return on_workers(table).groupBy("prefix").applyInArrow(each, "a long, b long").distinct()
 
 
 def _grouped(docs: DataFrame, shingle: int, distance: int) -> tuple[DataFrame, DataFrame]:

@@ -41,7 +41,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
-from tempora.llm.common import cut
+from tempora.llm.common import cut, frequent, on_workers
 
 LENGTH = 20
 GRAM = 8
@@ -148,17 +148,15 @@ def describe(docs: DataFrame, length: int = LENGTH, gram: int = GRAM) -> DataFra
 
 
 def _texts(docs: DataFrame) -> DataFrame:
-    return docs.select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("binary").alias("text"))
+    return on_workers(docs).select(F.coalesce(F.col("doc_id").cast("long"), F.lit(LAST)).alias("doc"), F.col("text").cast("binary").alias("text"))
 
 
 def _shared_seeds(described: DataFrame) -> DataFrame:
     """doc, tk, seeds, hot: per document the seeds it shares (with itself or
     others) and those of them that are frequent."""
     rows = described.select("doc", "tk", F.explode("seeds").alias("seed"))
-    named = rows.groupBy(F.pmod(F.spark_partition_id(), F.lit(64)).alias("block")).agg(F.expr("approx_top_k_accumulate(seed, 8192)").alias("s"), F.count(F.lit(1)).alias("n"))
-    named = named.agg(F.expr("approx_top_k_combine(s, 8192)").alias("s"), F.sum("n").alias("n")).where("n > 0")
-    named = named.select("n", F.explode(F.expr("approx_top_k_estimate(s, 1000)")).alias("top"))
-    hot = cut(named.where("top.count > greatest(1, n / 20000)").select(F.col("top.item").alias("seed"), F.lit(True).alias("hot")), "hot-seeds")
+    named = frequent(rows, "seed").where("estimate > greatest(1, n / 20000)")
+    hot = cut(named.select(F.col("item").alias("seed"), F.lit(True).alias("hot")), "hot-seeds")
     marked = rows.join(F.broadcast(hot), "seed", "left")  # at most 1,000 rows
     same = Window.partitionBy("seed")
     cold = marked.where("hot is null").withColumn("places", F.count(F.lit(1)).over(same)).where("places > 1").drop("places")
