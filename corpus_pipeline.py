@@ -1,25 +1,45 @@
-"""The corpus pipeline: documents to packed training sequences."""
+"""The corpus pipeline: documents to packed training sequences.
+
+Each stage works on all that the one before has kept and is written as Parquet
+in between. All but the last return the columns of ``documents``.
+"""
 
 from __future__ import annotations
 
 from pyspark.sql import DataFrame, SparkSession
 
-from tempora.llm import exact_dedup, mixing
+from tempora.llm import exact_dedup, language_id, mixing, packing, simhash
 from tempora.llm.common import cut, table
 
 
+def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """Documents whose text has a language; the others have no letter in them."""
+    return language_id.known_language(docs)
+
+
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """One document of each group of equal texts stays."""
+    """One document of each group of equal texts, the one with the largest doc_id."""
     return exact_dedup.drop_copies(docs)
 
 
+def near(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """One document of each group of near-duplicates, the one with the smallest doc_id."""
+    return simhash.keep_one(docs, shingle=4, distance=4)
+
+
 def mix(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """Documents repeated to the target share of their source, in random order."""
     return mixing.mix(docs)
 
 
-STAGES = [("exact_dedup", exact), ("mix_sources", mix)]
+def pack(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
+    """The place of each piece of each document in the training sequences."""
+    return packing.pack(docs)
+
+
+STAGES = [("language_id", language), ("exact_dedup", exact), ("simhash_near_dedup", near), ("mix_sources", mix), ("pattern_packing", pack)]
 
+#: Language, fingerprints and tokens can't be had in SQL; tests/llm/test_pipeline.py compares with plain Python.
 ORACLE_SQL = None
 
 
