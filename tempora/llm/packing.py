@@ -42,7 +42,7 @@ from tempora.llm.common import cut, on_workers
 CAPACITY = 2048
 WIDTH = 16  # lengths are rounded up to so many tokens in the fit
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 300_000  # words whose ids a Python worker keeps; it forgets them all when it has more
+REMEMBERED = 1_000_000  # words whose ids a Python worker keeps, some 200 MB; it forgets them all when it has more
 END = array("I", [0]).tobytes()
 
 _PLAIN = re.compile(rb"[!-~]+")
@@ -82,7 +82,10 @@ class Encoder(dict):
 
     def ids(self, text: bytes | None) -> bytes:
         """Ids of a text and the end id, little-endian unsigned 32-bit."""
-        return b"".join([*map(self.__getitem__, (text or b"").split()), END])
+        text = text or b""
+        if b"<|" not in text:  # the vocabulary lower-cases all but the names of its special tokens
+            text = text.lower()
+        return b"".join([*map(self.__getitem__, text.split()), END])
 
 
 _ENCODERS: dict[str, Encoder] = {}
