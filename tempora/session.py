@@ -3,8 +3,8 @@
 Library functions never build their own session; the caller passes ``spark``.
 Intermediate tables, stream checkpoints and round-trip outputs go under the
 shared folder named by ``spark.checkpoint.dir`` so that they survive executor
-loss on a cluster. Only when that setting is missing (local tests) do we set
-one ourselves.
+loss on a cluster. Only in local mode, where all tasks share one machine, is a
+folder made when that setting is missing; on a cluster its absence is an error.
 """
 
 from __future__ import annotations
@@ -41,16 +41,17 @@ def shared_dir(spark: SparkSession) -> str:
     """The shared folder for lineage cuts and scratch tables.
 
     Reads ``spark.checkpoint.dir`` (or the context's checkpoint dir). When
-    neither is set, as in a bare local test session, a fresh folder is created
-    and registered as the checkpoint dir.
+    neither is set, a local session (tests) gets a fresh folder as its
+    checkpoint dir; any other raises.
     """
     base = spark.conf.get(_CHECKPOINT_KEY, None)
     if not base:
         base = spark.sparkContext.getCheckpointDir()
     if not base:
-        base = tempfile.mkdtemp(prefix="tempora-ckpt-")
-        spark.conf.set(_CHECKPOINT_KEY, base)
-        spark.sparkContext.setCheckpointDir(base)
+        if not spark.sparkContext.master.split("[")[0] == "local":
+            raise RuntimeError(f"set {_CHECKPOINT_KEY} to a folder that the driver and all executors share")
+        spark.sparkContext.setCheckpointDir(tempfile.mkdtemp(prefix="tempora-ckpt-"))
+        base = spark.sparkContext.getCheckpointDir()
     return base.rstrip("/")
 
 

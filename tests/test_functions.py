@@ -98,3 +98,35 @@ def test_exact_mean_with_wider_scale(spark):
     assert r.m == 12.34 and abs(r.u - 12.3445) < 1e-12  # 12.3445 → 12.34 (only 4 decimals matter)
     with pytest.raises(ValueError):
         mean("v", decimals=3, exact=True, scale=2)
+
+
+def test_exact_mean_never_alters_its_inputs(spark):
+    """More decimals than the scale, NaN, infinities and huge values: the plain mean's figure."""
+    from tempora.functions.means import mean
+
+    inf, nan = float("inf"), float("nan")
+    groups = {"long": [1.005, 1.005], "nan": [nan, 10.0], "inf": [inf, 1.0], "huge": [1e300, 1e300], "fine": [0.1, 0.2, None], "none": [None]}
+    df = spark.createDataFrame([(k, v) for k, vs in groups.items() for v in vs], "k string, v double")
+    out = {r["k"]: (r["a"], r["b"]) for r in df.groupBy("k").agg(mean("v", exact=True).alias("a"), mean("v").alias("b")).collect()}
+    for k in ("long", "nan", "inf", "huge", "none"):
+        assert repr(out[k][0]) == repr(out[k][1]), k
+    assert out["fine"][0] == 0.15 and out["long"][0] == 1.01
+
+
+def test_shared_folder_is_required_on_a_cluster(monkeypatch):
+    import pytest
+
+    from tempora import session
+
+    class Context:
+        master = "yarn"
+
+        def getCheckpointDir(self):
+            return None
+
+    class Session:
+        conf = type("C", (), {"get": staticmethod(lambda *a: None)})()
+        sparkContext = Context()
+
+    with pytest.raises(RuntimeError, match="checkpoint"):
+        session.shared_dir(Session())
