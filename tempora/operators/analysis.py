@@ -101,8 +101,9 @@ EXTREME_COLUMNS = ["date", "city", "country", "temperature", "latitude", "longit
 
 def extremes(clean: DataFrame, low: float = EXTREME_LOW, high: float = EXTREME_HIGH,
              columns: list[str] = EXTREME_COLUMNS, value: str = "temperature") -> DataFrame:
-    """Extreme rows, highest first. The sort covers only the (filtered) extremes."""
-    return clean.filter(is_extreme(value, low, high)).select(*columns).orderBy(F.desc(value))
+    """Extreme rows, highest first, ties by the other columns: a frequent value
+    can be split over several ranges. The sort covers only the (filtered) extremes."""
+    return clean.filter(is_extreme(value, low, high)).select(*columns).orderBy(*_extreme_order(columns, value, True))
 
 
 def _extreme_order(columns: list[str], value: str, descending: bool) -> list[Column]:

@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.means import mean
+from tempora.session import scratch_path
 
 
 def latest_per_key(df: DataFrame, keys: list[str], ts: str, columns: list[str] | None = None) -> DataFrame:
@@ -85,16 +86,21 @@ def rank_by_mean(df: DataFrame, keys: list[str], value: str, exact: bool = False
     """Keys ranked by mean, highest first, with ``rank`` semantics (ties share
     a rank, nulls last).
 
-    The rank of a mean is 1 + the number of keys with a greater mean. It is
-    computed over the distinct rounded means with their key counts (at most
-    value range × 10^decimals rows, whatever the number of keys) and joined
-    back, so no task ever holds all keys."""
+    The rank of a mean is 1 + the number of keys with a greater mean. The
+    distinct means and their key counts are split into ranges and written in
+    order; a running count within each range is added to the counts of the
+    ranges before it (one row per range), and the ranks are joined back. No
+    task holds all keys or all means."""
     means = df.groupBy(*keys).agg(mean(value, decimals=decimals, exact=exact).alias("mean_value"))
     levels = means.groupBy("mean_value").agg(F.count(F.lit(1)).alias("_n"))
-    higher = Window.orderBy(F.desc_nulls_last("mean_value")).rowsBetween(Window.unboundedPreceding, -1)
-    levels = levels.select(
-        F.col("mean_value").alias("_level"),
-        (F.coalesce(F.sum("_n").over(higher), F.lit(0)) + 1).cast("int").alias("rank"),
-    )
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "levels")
+    ranges = levels.repartitionByRange(F.desc_nulls_last("mean_value")).withColumn("_range", F.spark_partition_id())
+    ranges.write.parquet(path)  # the split into ranges is fixed here
+    levels = spark.read.schema(ranges.schema).parquet(path)
+    before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
+    start = levels.groupBy("_range").agg(F.sum("_n").alias("_in")).select("_range", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"))
+    higher = Window.partitionBy("_range").orderBy(F.desc_nulls_last("mean_value")).rowsBetween(Window.unboundedPreceding, -1)
+    levels = levels.withColumn("_here", F.coalesce(F.sum("_n").over(higher), F.lit(0))).join(start, "_range")
+    levels = levels.select(F.col("mean_value").alias("_level"), (F.col("_before") + F.col("_here") + 1).cast("int").alias("rank"))
     joined = means.join(levels, means["mean_value"].eqNullSafe(levels["_level"]), "inner")
     return joined.select(*keys, "mean_value", "rank")

@@ -20,7 +20,6 @@ from tempora.functions.units import (
     wind_bearing,
     wind_speed,
 )
-from tempora.operators.partitioning import spread
 from tempora.schemas import CURRENT_PAYLOAD, MAIN_PAYLOAD, POINT_PAYLOAD, RECORD, RECORD_COLUMNS
 
 # Payload shapes known to the router.
@@ -44,6 +43,11 @@ _PARSED = "_parsed"
 _SCHEMAS = {POINT: POINT_PAYLOAD, CURRENT: CURRENT_PAYLOAD, MAIN_WIND: MAIN_PAYLOAD}
 
 
+def _decodes(payload: str) -> Column:
+    """The payload is a JSON object (its fields may still be missing)."""
+    return F.coalesce(F.get_json_object(payload, "$").startswith("{"), F.lit(False))
+
+
 def point_measures(p: Column, fill_zero: bool = False) -> dict[str, Column]:
     temp = first_element(p["temp-surface"])
     u = _zero(first_element(p["wind_u-surface"]), fill_zero)
@@ -85,7 +89,7 @@ _BUILDERS = {POINT: point_measures, CURRENT: current_measures, MAIN_WIND: main_w
 
 
 def _parse(df: DataFrame, payload: str, vendor: str) -> DataFrame:
-    return spread(df).withColumn(_PARSED, F.from_json(F.col(payload), _SCHEMAS[vendor]))
+    return df.withColumn(_PARSED, F.from_json(F.col(payload), _SCHEMAS[vendor]))
 
 
 def _record(df: DataFrame, measures: dict[str, Column], source: Column, keep: list[str]) -> DataFrame:
@@ -117,9 +121,10 @@ def normalise(df: DataFrame, vendor: str = "vendor", payload: str = "payload", f
               keep: list[str] = ()) -> DataFrame:
     """Route each row to its vendor's conversion in one projection.
 
-    Rows with an unknown vendor are left out; ``rejects`` returns them."""
+    Rows with an unknown vendor or a payload that doesn't decode are left out;
+    ``rejects`` returns them."""
     v = F.col(vendor)
-    known = spread(df).filter(v.isin(*VENDORS)).withColumns(
+    known = df.filter(v.isin(*VENDORS) & _decodes(payload)).withColumns(
         {f"{_PARSED}_{name}": F.when(v == name, F.from_json(F.col(payload), _SCHEMAS[name])) for name in VENDORS}
     )
     built = {name: fn(F.col(f"{_PARSED}_{name}"), fill_zero) for name, fn in _BUILDERS.items()}
@@ -132,7 +137,8 @@ def normalise(df: DataFrame, vendor: str = "vendor", payload: str = "payload", f
     return _record(known, measures, v, list(keep))
 
 
-def rejects(df: DataFrame, vendor: str = "vendor") -> DataFrame:
-    """Rows whose vendor has no normaliser (null vendor included)."""
+def rejects(df: DataFrame, vendor: str = "vendor", payload: str = "payload") -> DataFrame:
+    """Rows whose vendor has no normaliser (null vendor included), or whose
+    payload is no JSON object (null, cut off, garbage)."""
     v = F.col(vendor)
-    return df.filter(v.isNull() | ~v.isin(*VENDORS))
+    return df.filter(v.isNull() | ~v.isin(*VENDORS) | ~_decodes(payload))

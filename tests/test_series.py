@@ -54,3 +54,15 @@ def test_latest_per_key_on_a_stream(spark, tmp_path):
     sq.run_to_completion(sq.start_update_table(latest, path, ckpt, available_now=True))
     got = {r.city: r.temperature_celsius for r in sq.latest_updates(spark, path, ["city"]).collect()}
     assert got == {"Paris": 12.0, "Oslo": 1.0}
+
+
+def test_rank_over_many_ranges(spark):
+    from tempora.operators.series import rank_by_mean
+
+    df = spark.range(3000).selectExpr("id as k", "cast(id % 700 as double) as v").repartition(7)
+    got = {r["k"]: r["rank"] for r in rank_by_mean(df, ["k"], "v").collect()}
+    values = sorted((k % 700 for k in range(3000)), reverse=True)
+    first = {}
+    for place, v in enumerate(values, 1):
+        first.setdefault(v, place)
+    assert got == {k: first[k % 700] for k in range(3000)}
