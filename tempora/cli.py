@@ -23,7 +23,10 @@ def _session(master: str | None) -> SparkSession:
     builder = SparkSession.builder.appName("tempora")
     if master:
         builder = builder.master(master)
-    return builder.getOrCreate()
+    spark = builder.getOrCreate()
+    if not spark.sparkContext.getConf().contains("spark.sql.session.timeZone"):
+        spark.conf.set("spark.sql.session.timeZone", "UTC")  # unless the caller chose a zone
+    return spark
 
 
 def main(argv: list[str] | None = None) -> int:
@@ -65,7 +68,7 @@ def main(argv: list[str] | None = None) -> int:
     spark = _session(args.master)
     from tempora.plans import jobs
     from tempora.sinks.files import show
-    from tempora.streaming.queries import await_any
+    from tempora.streaming.queries import await_all
 
     if args.command == "batch":
         print(json.dumps(jobs.batch_job(spark, args.input, args.base, args.exact, args.rerun_years_only,
@@ -83,7 +86,7 @@ def main(argv: list[str] | None = None) -> int:
         started = jobs.consumer_job(stream, args.base, args.checkpoints, console=not args.no_console,
                                     parquet=not args.no_parquet, available_now=args.available_now,
                                     state_partitions=args.state_partitions, with_grain=args.with_grain)
-        await_any(spark, started)
+        await_all(started)
     elif args.command == "read":
         reports = jobs.reader_job(spark, args.base, since=args.since, with_grain=args.with_grain)
         table = reports[args.source] if args.source else reports["table"]

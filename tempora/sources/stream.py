@@ -66,9 +66,3 @@ def with_json_rejects(decoded: DataFrame, columns: list[str], name: str = "json_
         cond = F.col(c).isNull()
         all_null = cond if all_null is None else all_null & cond
     return decoded.observe(name, F.count(F.lit(1)).alias("rows"), F.count_if(all_null).alias("all_null"))
-
-
-def json_field(value: Column | str, schema) -> Column:
-    """``from_json`` of one column (string or binary)."""
-    c = F.col(value) if isinstance(value, str) else value
-    return F.from_json(c.cast("string"), schema)

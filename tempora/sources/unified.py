@@ -22,11 +22,14 @@ def root_of(base: str, source: str) -> str:
     return f"{base}/{source}"
 
 
-def _try_read(spark: SparkSession, path: str) -> DataFrame | None:
+def _try_read(spark: SparkSession, path: str, may_be_empty: bool) -> DataFrame | None:
+    """The table at ``path``; None where there is none. A streaming root exists
+    before its first commit (``may_be_empty``); a batch root without files is a
+    failed write, and an error."""
     try:
         return spark.read.parquet(path)
     except AnalysisException as exc:
-        if "PATH_NOT_FOUND" in str(exc) or "UNABLE_TO_INFER_SCHEMA" in str(exc):
+        if "PATH_NOT_FOUND" in str(exc) or may_be_empty and "UNABLE_TO_INFER_SCHEMA" in str(exc):
             return None
         raise
 
@@ -48,7 +51,7 @@ def read_unified(spark: SparkSession, base: str, sources=(BATCH, STREAMING), fal
         return p.select(*cols)
 
     for candidate in (base, *fallbacks):
-        parts = [_try_read(spark, root_of(candidate, s)) for s in sources]
+        parts = [_try_read(spark, root_of(candidate, s), s == STREAMING) for s in sources]
         parts = [shape(p) for p in parts if p is not None]
         if parts:
             out = parts[0]

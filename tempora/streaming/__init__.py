@@ -1,7 +1,7 @@
 """Structured Streaming: enrichment, watermarked windows, sinks, lifecycle."""
 
 from tempora.streaming.queries import (
-    await_any,
+    await_all,
     latest_updates,
     run_to_completion,
     start_console_update,
@@ -12,7 +12,7 @@ from tempora.streaming.queries import (
 from tempora.streaming.windows import enrich, flatten_window, to_unified, windowed_measures
 
 __all__ = [
-    "await_any",
+    "await_all",
     "enrich",
     "flatten_window",
     "latest_updates",

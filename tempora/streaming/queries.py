@@ -31,12 +31,12 @@ def _trigger(writer, processing_time: str | None, available_now: bool):
 
 def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
                          available_now: bool = False, name: str | None = None,
-                         partition_by: list[str] | None = None, retention: str | None = None) -> StreamingQuery:
+                         partition_by: list[str] | None = None) -> StreamingQuery:
     """Append-mode Parquet sink: each window is written once, after the
     watermark closes it. ``partition_by`` lays the output out in folders
-    (e.g. ``year``) so that readers prune it. ``retention`` (e.g. ``"30d"``)
-    ages entries out of the sink's metadata log, which otherwise lists every
-    file ever written and grows with the life of the stream."""
+    (e.g. ``year``) so that readers prune it. The sink's metadata log lists
+    every file ever written; ``compact`` moves a long-lived root's rows to a
+    table of few files."""
     writer = (
         df.writeStream.outputMode("append")
         .format("parquet")
@@ -45,8 +45,6 @@ def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_t
     )
     if partition_by:
         writer = writer.partitionBy(*partition_by)
-    if retention:
-        writer = writer.option("retention", retention)
     if name:
         writer = writer.queryName(name)
     return _trigger(writer, processing_time, available_now).start()
@@ -79,36 +77,57 @@ def start_update_table(df: DataFrame, path: str, checkpoint: str, processing_tim
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
-    """Current value per key from an update table (latest batch wins)."""
+    """Current value per key from an update table (latest batch wins). Reads
+    every update ever written: ``compact_updates`` folds them."""
     updates = spark.read.option("basePath", path).parquet(path).drop("batch_id")
     values = [c for c in updates.columns if c not in keys and c != "_batch_id"]
     latest = F.max_by(F.struct(*[F.col(c) for c in values]), F.col("_batch_id")).alias("_v")
     return updates.groupBy(*keys).agg(latest).select(*keys, *[F.col(f"_v.{c}").alias(c) for c in values])
 
 
-def run_to_completion(query: StreamingQuery, timeout: float | None = None) -> StreamingQuery:
-    """Block until an ``availableNow`` query has drained its input."""
+def compact_updates(spark: SparkSession, path: str, target: str, keys: list[str]) -> None:
+    """The current value per key of the update table at ``path``, written as the
+    first batch of a new one at ``target``."""
+    latest_updates(spark, path, keys).withColumn("_batch_id", F.lit(-1).cast("long")).write.parquet(f"{target}/batch_id=-1")
+
+
+def compact(spark: SparkSession, root: str, target: str, partition_by: str | None = None) -> None:
+    """Every committed row of a streaming root, written to a new table of few files."""
+    rows = spark.read.parquet(root)
+    writer = rows.hint("rebalance", *[partition_by] if partition_by else []).write.mode("errorifexists")
+    (writer.partitionBy(partition_by) if partition_by else writer).parquet(target)
+
+
+class LateRows(RuntimeError):
+    """A stream dropped rows behind its watermark although none were expected."""
+
+
+def late_rows(query: StreamingQuery) -> int:
+    """Rows dropped behind the watermark, as far back as the query's progress reaches."""
+    states = (s for p in query.recentProgress for s in p["stateOperators"])
+    return sum(s.get("numRowsDroppedByWatermark", 0) for s in states)
+
+
+def run_to_completion(query: StreamingQuery, timeout: float | None = None, allow_late: bool = False) -> StreamingQuery:
+    """Block until an ``availableNow`` query has drained its input. Raises if it
+    has dropped late rows, unless they are expected."""
     query.awaitTermination(timeout)
     if query.exception() is not None:
         raise query.exception()
+    if not allow_late and (n := late_rows(query)):
+        raise LateRows(f"{n} rows or groups came behind the watermark and were dropped")
     return query
 
 
-def await_any(spark: SparkSession, queries: list[StreamingQuery], timeout: float | None = None) -> None:
-    """Wait until any of ``queries`` ends (or fails), then stop all of them and
-    re-raise the first failure.
-
-    Waiting on each query in turn would miss a failure of the second one.
-    Terminations of other queries from before the call are forgotten, so only
-    these queries count; one of them having ended already returns at once."""
+def await_all(queries: list[StreamingQuery], poll: float = 0.5) -> None:
+    """Wait until all of ``queries`` have ended. If one fails, or the wait is
+    interrupted, the others are stopped and the failure is raised; one that has
+    drained its input leaves the others running."""
     try:
-        if all(q.isActive for q in queries):
-            spark.streams.resetTerminated()
-            if all(q.isActive for q in queries):  # none ended around the reset
-                try:
-                    spark.streams.awaitAnyTermination(timeout)
-                except Exception:  # reported below from the query itself
-                    pass
+        while active := [q for q in queries if q.isActive]:
+            if any(q.exception() is not None for q in queries if not q.isActive):
+                break
+            active[0].awaitTermination(poll)
     finally:
         stop_all(queries)
     for q in queries:

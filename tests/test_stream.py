@@ -23,10 +23,10 @@ def land(directory, name, lines, header=HEADER):
     time.sleep(0.05)  # distinct modification times keep file order
 
 
-def windowed_query(spark, landing, out, ckpt):
+def windowed_query(spark, landing, out, ckpt, allow_late=False):
     stream = read_record_csv_stream(spark, landing, max_files_per_trigger=1)
     flat = sw.flatten_window(sw.windowed_measures(sw.enrich(stream), exact=True))
-    return sq.run_to_completion(sq.start_parquet_append(flat, out, ckpt, available_now=True))
+    return sq.run_to_completion(sq.start_parquet_append(flat, out, ckpt, available_now=True), allow_late=allow_late)
 
 
 def test_csv_record_parsing(spark, tmp_path):
@@ -61,7 +61,7 @@ def test_windows_late_data_and_emission(spark, tmp_path):
     land(landing, "2.csv", [rec("2024-01-01T10:06:00", temp=1.0)])
     # batch 2: 10:01:20 is behind the watermark that late rows are checked against (10:03:10) → dropped
     land(landing, "3.csv", [rec("2024-01-01T10:01:20", temp=50.0), rec("2024-01-01T10:09:00", temp=2.0)])
-    q = windowed_query(spark, landing, out, ckpt)
+    q = windowed_query(spark, landing, out, ckpt, allow_late=True)
     dropped = sum(p["stateOperators"][0].get("numRowsDroppedByWatermark", 0) for p in q.recentProgress
                   if p.get("stateOperators"))
     assert dropped == 1
@@ -187,17 +187,19 @@ def test_json_rejects_observed(spark, tmp_path):
     assert m.asDict() == {"rows": 3, "all_null": 2}
 
 
-def test_await_any_stops_all(spark, tmp_path):
+def test_a_failure_stops_all(spark, tmp_path):
     landing = str(tmp_path / "in")
     land(landing, "1.csv", [rec("2024-01-01T10:00:30")])
-    stream = read_record_csv_stream(spark, landing)
-    w = sw.windowed_measures(sw.enrich(stream))
-    q1 = sq.start_parquet_append(sw.to_unified(w), str(tmp_path / "o"), str(tmp_path / "c1"), available_now=True)
-    q2 = sq.start_parquet_append(sw.to_unified(w), str(tmp_path / "o2"), str(tmp_path / "c2"),
-                                 processing_time="1 second")
-    sq.await_any(spark, [q1, q2], timeout=60)
+    w = sw.to_unified(sw.windowed_measures(sw.enrich(read_record_csv_stream(spark, landing))))
+
+    def fail(batch, batch_id):
+        raise ValueError("no")
+
+    q1 = w.writeStream.outputMode("append").option("checkpointLocation", str(tmp_path / "c1")).foreachBatch(fail).trigger(availableNow=True).start()
+    q2 = sq.start_parquet_append(w, str(tmp_path / "o2"), str(tmp_path / "c2"), processing_time="1 second")
+    with pytest.raises(Exception, match="no"):
+        sq.await_all([q1, q2])
     assert not q1.isActive and not q2.isActive
-    spark.streams.resetTerminated()
 
 
 def test_rocksdb_state_store(spark, tmp_path):
@@ -226,15 +228,37 @@ def test_batch_and_stream_agree_on_closed_windows(spark):
     assert sorted(streamed.collect()) == sorted(closed.collect())
 
 
-def test_sink_retention_option_accepted(spark, tmp_path):
+def test_compaction_keeps_every_row(spark, tmp_path):
+    landing, out = str(tmp_path / "in"), str(tmp_path / "o")
+    for k in range(8):
+        land(landing, f"{k}.csv", [rec(f"2024-01-01T1{k}:00:30"), rec(f"2024-01-01T1{k}:09:00")])
+    windowed_query(spark, landing, out, str(tmp_path / "c"))
+    rows = sorted(spark.read.parquet(out).collect())
+    assert len(rows) == 15  # all windows but the last are closed
+    sq.compact(spark, out, str(tmp_path / "small"))
+    assert sorted(spark.read.parquet(str(tmp_path / "small")).collect()) == rows == sorted(spark.read.parquet(out).collect())
+
+
+def test_unexpected_late_rows_are_an_error(spark, tmp_path):
     landing = str(tmp_path / "in")
-    land(landing, "1.csv", [rec("2024-01-01T10:00:30"), rec("2024-01-01T10:09:00")])
-    stream = read_record_csv_stream(spark, landing)
-    flat = sw.flatten_window(sw.windowed_measures(sw.enrich(stream)))
-    q = sq.start_parquet_append(flat, str(tmp_path / "o"), str(tmp_path / "c"), available_now=True,
-                                retention="30d")
-    sq.run_to_completion(q)
-    assert spark.read.parquet(str(tmp_path / "o")).count() == 1
+    for k, minute in enumerate((0, 30, 45, 10)):  # the last file is out of order
+        land(landing, f"{k}.csv", [rec(f"2024-01-01T10:{minute:02d}:30")])
+    with pytest.raises(sq.LateRows):
+        windowed_query(spark, landing, str(tmp_path / "o"), str(tmp_path / "c"))
+
+
+@pytest.mark.parametrize("state_partitions", [1, 2])
+def test_both_sinks_drain(spark, tmp_path, state_partitions):
+    from tempora import cli
+
+    landing = str(tmp_path / "in")
+    for k in range(12):
+        land(landing, f"{k:02d}.csv", [rec(f"2024-01-01T10:{4 * k:02d}:30")])
+    before = spark.conf.get("spark.sql.shuffle.partitions")
+    cli.main(["consumer", "--base", str(tmp_path / "u"), "--checkpoints", str(tmp_path / "c"), "--input", landing,
+              "--available-now", "--state-partitions", str(state_partitions)])
+    assert spark.read.parquet(str(tmp_path / "u" / "streaming")).count() == 11
+    assert spark.conf.get("spark.sql.shuffle.partitions") == before
 
 
 def test_event_stream_from_file_or_folder(spark, tmp_path):
@@ -242,7 +266,7 @@ def test_event_stream_from_file_or_folder(spark, tmp_path):
     from tests.conftest import SF_SMALL
 
     folder = str(tmp_path / "sf")
-    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(3).write.parquet(f"{folder}/events.parquet")
+    spark.read.parquet(f"{SF_SMALL}/events.parquet").repartition(8, "event_id").write.parquet(f"{folder}/events.parquet")
     a = sorted(catalog.stream_windows(spark, SF_SMALL).collect())
     b = sorted(catalog.stream_windows(spark, folder).collect())
     assert a == b and len(a) > 0

@@ -67,3 +67,13 @@ def test_total_order_before_write(spark):
     df = batch_rows(spark).unionByName(stream_rows(spark))
     rows = [(r.Country, r.City, r.year) for r in ordered(df).collect()]
     assert rows == sorted(rows)
+
+
+def test_emptied_batch_root_is_an_error(spark, tmp_path):
+    import pytest
+
+    base = str(tmp_path / "u")
+    stream_rows(spark).write.parquet(f"{base}/streaming")
+    (tmp_path / "u" / "batch").mkdir()
+    with pytest.raises(Exception, match="UNABLE_TO_INFER_SCHEMA"):
+        read_unified(spark, base)
