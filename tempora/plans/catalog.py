@@ -33,9 +33,7 @@ ORDER_LOW = 5000.0
 ORDER_HIGH = 495000.0
 RECENT_SINCE = 2000
 EVOLUTION_WINDOW = "1 day"
-# Micro-batch bound of the event stream: at scale a backlog is drained in
-# batches of this many input bytes (a single small file is one batch).
-STREAM_BYTES_PER_TRIGGER = 8 << 30
+STREAM_PERIODS = 8  # landed event-time periods, one micro-batch each
 
 
 # ---------------------------------------------------------------- historical
@@ -68,10 +66,40 @@ def mean_by_country(spark, sf_dir):
     return analysis.mean_by_country(_clean_lineitem(spark, sf_dir), exact=True)
 
 
+def mean_by_country_many(spark, sf_dir):
+    """Suppliers as countries: more groups than the ten that are reported."""
+    raw = tables.history_from_lineitem(spark, sf_dir, country="l_suppkey")
+    return analysis.mean_by_country(clean.clean_history(raw), exact=True)
+
+
+def mean_by_country_ref(spark, sf_dir):
+    """With the reference's own mean, round(avg, 2)."""
+    return analysis.mean_by_country(_clean_lineitem(spark, sf_dir))
+
+
 def mean_by_year(spark, sf_dir):
     return analysis.mean_by_year(_clean_orders(spark, sf_dir), exact=True)
 
 
+def mean_by_year_ref(spark, sf_dir):
+    """With the reference's own mean, round(avg, 2)."""
+    return analysis.mean_by_year(_clean_orders(spark, sf_dir))
+
+
+def _mean_by_year_month(spark, sf_dir):
+    """Year and month in the place of the year: more groups than are reported."""
+    months = _clean_orders(spark, sf_dir).withColumn("year", F.col("year") * 100 + F.col("month"))
+    return analysis.mean_by_year(months, exact=True)
+
+
+def first_months(spark, sf_dir):
+    return analysis.first_years(_mean_by_year_month(spark, sf_dir))
+
+
+def last_months(spark, sf_dir):
+    return analysis.last_years(_mean_by_year_month(spark, sf_dir))
+
+
 def first_years(spark, sf_dir):
     return analysis.first_years(mean_by_year(spark, sf_dir))
 
@@ -187,15 +215,18 @@ def notebook_report(spark, sf_dir):
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
     """``events`` as a file stream. A single Parquet file is streamed from its
     folder through a name filter (a file stream needs a folder); a folder of
-    part files is streamed as it is."""
+    part files is streamed as it is.
+
+    The files of a folder are in no order of event time, so they are one
+    micro-batch, whatever their number and size: split, rows of later files
+    would come behind the watermark that earlier ones have set."""
     batch = tables.table(spark, sf_dir, "events")
     files = batch.inputFiles()
     if len(files) == 1 and files[0].rstrip("/").endswith("/events.parquet"):
         directory, glob = sf_dir, "events.parquet"
     else:
         directory, glob = f"{sf_dir}/events.parquet", None
-    return read_parquet_stream(spark, directory, batch.schema, glob=glob,
-                               max_bytes_per_trigger=STREAM_BYTES_PER_TRIGGER)
+    return read_parquet_stream(spark, directory, batch.schema, glob=glob)
 
 
 def _event_windows(spark, sf_dir) -> DataFrame:
@@ -203,25 +234,88 @@ def _event_windows(spark, sf_dir) -> DataFrame:
     return sw.windowed_measures(sw.enrich(records), exact=True)
 
 
-def _run_append(spark, df: DataFrame, name: str) -> str:
+def _run_append(spark, df: DataFrame, name: str, allow_late: bool = False) -> str:
     out = scratch_path(spark, f"{name}-out")
     ckpt = scratch_path(spark, f"{name}-ckpt")
-    sq.run_to_completion(sq.start_parquet_append(df, out, ckpt, available_now=True))
+    sq.run_to_completion(sq.start_parquet_append(df, out, ckpt, available_now=True), allow_late=allow_late)
     return out
 
 
+def _periods(events: DataFrame) -> tuple[DataFrame, list[int]]:
+    """``events`` with the number of its event-time period (rows without a time
+    go with the first), and the periods in order. Only two timestamps are
+    brought to the driver."""
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(at), F.max(at)).first()
+    if lo is None:
+        return events.withColumn("_period", F.lit(0)), [0]
+    share = (at - F.lit(lo)) * F.lit(STREAM_PERIODS) / F.lit(max(1, hi - lo + 1))
+    return events.withColumn("_period", F.coalesce(F.floor(share), F.lit(0)).cast("int")), list(range(STREAM_PERIODS))
+
+
+def _land_csv(events: DataFrame, periods: list[int], landing: str) -> str:
+    """One CSV record file per period, landed one after the other: a stream
+    takes files in the order in which they were landed."""
+    for k in periods:
+        files.land_records_csv(tables.events_as_records(events.where(F.col("_period") == k)).coalesce(1), landing)
+    return landing
+
+
+def _landed_windows(spark, landing: str, exact: bool = True) -> DataFrame:
+    """Windows of a landing folder, read one file per trigger as the reference does."""
+    return sw.flatten_window(sw.windowed_measures(sw.enrich(read_record_csv_stream(spark, landing)), exact=exact))
+
+
 def stream_windows(spark, sf_dir):
     out = _run_append(spark, sw.flatten_window(_event_windows(spark, sf_dir)), "stream-windows")
     return spark.read.parquet(out)
 
 
 def stream_csv_windows(spark, sf_dir):
-    """Events landed as CSV record files, then read back as a CSV file stream."""
-    landing = scratch_path(spark, "landing")
-    files.land_records_csv(spread(tables.events_as_records(_events(spark, sf_dir))), landing)
-    stream = read_record_csv_stream(spark, landing, max_files_per_trigger=None)
-    windowed = sw.windowed_measures(sw.enrich(stream), exact=True)
-    return spark.read.parquet(_run_append(spark, sw.flatten_window(windowed), "stream-csv"))
+    """Events landed as CSV record files, one per event-time period, then read
+    back as a CSV file stream, one file per trigger."""
+    landing = _land_csv(*_periods(_events(spark, sf_dir)), scratch_path(spark, "landing"))
+    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-csv"))
+
+
+def stream_late(spark, sf_dir):
+    """Every tenth event of the first quarter is landed after all others: it
+    comes behind the watermark and is dropped."""
+    events, periods = _periods(_events(spark, sf_dir))
+    held = (F.col("event_id") % 10 == 0) & (F.col("_period") < STREAM_PERIODS // 4)
+    events = events.withColumn("_period", F.when(held, F.lit(STREAM_PERIODS)).otherwise(F.col("_period")))
+    landing = _land_csv(events, [*periods, STREAM_PERIODS], scratch_path(spark, "landing"))
+    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-late", allow_late=True))
+
+
+def stream_null_time(spark, sf_dir):
+    """Every ninth event has no time: it belongs to no window."""
+    events = _events(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 9 != 0, F.col("ts")))
+    landing = _land_csv(*_periods(events), scratch_path(spark, "landing"))
+    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-null-time"))
+
+
+def stream_restart(spark, sf_dir):
+    """The stream is run on half of the landed files, then started again with
+    the same checkpoint on all of them: as if it had never stopped."""
+    events, periods = _periods(_events(spark, sf_dir))
+    landing, out, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "ckpt"))
+    half = len(periods) // 2
+    for part in (periods[:half], periods[half:]):
+        _land_csv(events, part, landing)
+        sq.run_to_completion(sq.start_parquet_append(_landed_windows(spark, landing), out, ckpt, available_now=True))
+    return spark.read.parquet(out)
+
+
+def stream_update_batches(spark, sf_dir):
+    """Update mode over several micro-batches, folded and compacted: the latest
+    figures of every window, open ones included."""
+    landing = _land_csv(*_periods(_events(spark, sf_dir)), scratch_path(spark, "landing"))
+    path, ckpt, small = (scratch_path(spark, f"update-batches-{x}") for x in ("out", "ckpt", "compact"))
+    sq.run_to_completion(sq.start_update_table(_landed_windows(spark, landing), path, ckpt, available_now=True))
+    keys = ["window_start", "window_end", "city", "country"]
+    sq.compact_updates(spark, path, small, keys)
+    return sq.latest_updates(spark, small, keys)
 
 
 def stream_unified(spark, sf_dir):
@@ -260,10 +354,11 @@ def stream_stats_per_key(spark, sf_dir):
 # -------------------------------------------------------------------- unified
 
 # The unified roots (batch yearly means + the stream's rows) are built once per
-# Spark application and data directory, then shared by the seven queries that
-# report on them. They are written tables under the shared folder, so every
-# report reads durable data rather than recomputing the stream.
-_UNIFIED_BASES: dict[tuple[str, str], str] = {}
+# Spark application and state of the source files (names, sizes, times), then
+# shared by the queries that report on them. They are written tables under the
+# shared folder, so every report reads durable data rather than recomputing the
+# stream.
+_UNIFIED_BASES: dict[tuple, str] = {}
 
 
 def build_unified(spark: SparkSession, sf_dir: str) -> str:
@@ -277,8 +372,20 @@ def build_unified(spark: SparkSession, sf_dir: str) -> str:
     return base
 
 
+def _state_of(spark: SparkSession, sf_dir: str, name: str) -> tuple:
+    """Number, total size and latest time of a table's files, from its listing."""
+    jvm, path = spark.sparkContext._jvm, f"{sf_dir}/{name}.parquet"
+    root = jvm.org.apache.hadoop.fs.Path(path)
+    fs = root.getFileSystem(spark.sparkContext._jsc.hadoopConfiguration())
+    found, size, latest, n = fs.listFiles(root, True), 0, 0, 0
+    while found.hasNext():
+        f = found.next()
+        size, latest, n = size + f.getLen(), max(latest, f.getModificationTime()), n + 1
+    return n, size, latest
+
+
 def _unified_base(spark: SparkSession, sf_dir: str) -> str:
-    key = (spark.sparkContext.applicationId, sf_dir)
+    key = (spark.sparkContext.applicationId, sf_dir, *(_state_of(spark, sf_dir, t) for t in ("orders", "events")))
     if key not in _UNIFIED_BASES:
         _UNIFIED_BASES[key] = build_unified(spark, sf_dir)
     return _UNIFIED_BASES[key]
@@ -312,6 +419,21 @@ def source_compare(spark, sf_dir):
     return unified.source_compare(unified_table(spark, sf_dir), decimals=2, exact=True)
 
 
+def source_compare_one(spark, sf_dir):
+    """Only one source: there is nothing to compare, so no row."""
+    return unified.source_compare(unified.select_source(unified_table(spark, sf_dir), BATCH), decimals=2, exact=True)
+
+
+def recent_top5_ref(spark, sf_dir):
+    """Unrounded, as the reference reports it."""
+    return unified.recent_top(unified_table(spark, sf_dir), since=RECENT_SINCE, k=5, exact=True)
+
+
+def source_compare_ref(spark, sf_dir):
+    """Unrounded, as the reference reports it."""
+    return unified.source_compare(unified_table(spark, sf_dir), exact=True)
+
+
 # --------------------------------------------------------------- per-key series
 
 def _events(spark, sf_dir):
@@ -358,11 +480,26 @@ def normalise_routed(spark, sf_dir):
     return vendors.normalise(tables.payloads_from_lineitem(spark, sf_dir), keep=["record_id"])
 
 
+def normalise_point_zero(spark, sf_dir):
+    """With the reference's zero defaults for missing values."""
+    return vendors.normalise_point(tables.payloads_from_lineitem(spark, sf_dir, "point"), keep=["record_id"], fill_zero=True)
+
+
 def normalise_rejects(spark, sf_dir):
     """Rows the router cannot normalise (unknown vendor): kept whole, not dropped."""
     return vendors.rejects(tables.payloads_from_lineitem(spark, sf_dir)).select("record_id", "vendor", "payload")
 
 
+def normalise_broken(spark, sf_dir):
+    """Payloads of known vendors that don't decode are rejects, not empty records."""
+    return vendors.rejects(tables.payloads_from_lineitem(spark, sf_dir, faults=True)).select("record_id", "vendor", "payload")
+
+
+def normalise_routed_broken(spark, sf_dir):
+    """The records of all payloads that do decode."""
+    return vendors.normalise(tables.payloads_from_lineitem(spark, sf_dir, faults=True), keep=["record_id"])
+
+
 # ---------------------------------------------------------------- round trips
 
 def roundtrip_parquet(spark, sf_dir):
@@ -396,7 +533,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "clean_counts": clean_counts,
     "clean_rows": clean_rows,
     "mean_by_country": mean_by_country,
+    "mean_by_country_many": mean_by_country_many,
+    "mean_by_country_ref": mean_by_country_ref,
     "mean_by_year": mean_by_year,
+    "mean_by_year_ref": mean_by_year_ref,
+    "first_months": first_months,
+    "last_months": last_months,
     "first_years": first_years,
     "last_years": last_years,
     "hottest": hottest,
@@ -418,6 +560,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "notebook_report": notebook_report,
     "stream_windows": stream_windows,
     "stream_csv_windows": stream_csv_windows,
+    "stream_late": stream_late,
+    "stream_null_time": stream_null_time,
+    "stream_restart": stream_restart,
+    "stream_update_batches": stream_update_batches,
     "stream_unified": stream_unified,
     "stream_update": stream_update,
     "stream_latest_per_key": stream_latest_per_key,
@@ -429,6 +575,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "distinct_sources": distinct_sources,
     "recent_top5": recent_top5,
     "source_compare": source_compare,
+    "source_compare_one": source_compare_one,
+    "source_compare_ref": source_compare_ref,
+    "recent_top5_ref": recent_top5_ref,
     "latest_per_key": latest_per_key,
     "stats_per_key": stats_per_key,
     "evolution": evolution,
@@ -439,6 +588,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "normalise_main": normalise_main,
     "normalise_routed": normalise_routed,
     "normalise_rejects": normalise_rejects,
+    "normalise_point_zero": normalise_point_zero,
+    "normalise_broken": normalise_broken,
+    "normalise_routed_broken": normalise_routed_broken,
     "roundtrip_parquet": roundtrip_parquet,
     "roundtrip_csv": roundtrip_csv,
     "roundtrip_json": roundtrip_json,

@@ -48,10 +48,17 @@ OUTPUTS = {
     "coldest": "coldest_cities",
     "extremes": "extreme_temperatures",
     "by_decade": "decade_trend",
+    "by_month": "temperature_by_month",
+    "by_period": "temperature_by_period",
+    "nulls": "null_profile",
     "report": "etl_report",
 }
 
 
+DATASETS = ("clean", "by_country", "by_year", "hottest", "coldest", "extremes", "by_decade")  # those that the report counts
+PIPELINE = "historical temperatures"
+
+
 def run_concurrently(actions, max_workers: int = 4) -> None:
     """Submit independent Spark actions from a few driver threads so that small
     jobs (bounded summaries) share the executors instead of queueing one after
@@ -64,8 +71,9 @@ def run_concurrently(actions, max_workers: int = 4) -> None:
 def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool = False,
                  low: float = analysis.EXTREME_LOW, high: float = analysis.EXTREME_HIGH,
                  min_records: int = analysis.MIN_CITY_RECORDS) -> dict:
-    """Profile, clean and analyse the historical table; write the seven
-    datasets and a one-row report (counts, statistics, run information and
+    """Profile, clean and analyse the historical table; write the seven datasets
+    of the reference, the tables that it only prints (null profile, months,
+    periods) and a one-row report (counts, statistics, run information and
     wall-clock phase durations). Returns the report as a dict.
 
     The clean table is written once and read back for its several consumers
@@ -74,6 +82,8 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
     t_start = time.perf_counter()
     raw = read_history_csv(spark, csv_path)
     shape = clean.table_shape(raw)
+    nulls = clean.null_profile(raw)
+    t_extract = time.perf_counter()
     clean_df, obs = clean.observed_clean(raw)
     out = {k: f"{out_dir}/{v}" for k, v in OUTPUTS.items()}
     # The clean table is written once (K1) and every summary reads that written,
@@ -90,6 +100,9 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
             lambda: files.write_single_json(analysis.coldest(means), out["coldest"]),
             lambda: files.write_parquet(analysis.extremes(c, low, high), out["extremes"]),
             lambda: files.write_single_csv(analysis.mean_by_decade(c, exact=exact), out["by_decade"]),
+            lambda: files.write_single_csv(analysis.mean_by_month(c, exact=exact), out["by_month"]),
+            lambda: files.write_single_csv(analysis.mean_by_period(c, exact=exact), out["by_period"]),
+            lambda: files.write_single_json(nulls, out["nulls"]),
         ]
         run_concurrently(writes)
     stats = analysis.global_stats(c, low, high, exact=exact)
@@ -105,14 +118,17 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
         F.round("global_min_temperature", 2).alias("global_min_temperature"),
         F.round("global_max_temperature", 2).alias("global_max_temperature"),
         F.col("extreme_observations"),
-        F.lit(len(OUTPUTS) - 1).alias("datasets_saved"),
+        F.lit(len(DATASETS)).alias("datasets_saved"),
         F.lit(shape["partitions"]).alias("partitions"),
         F.lit(spark.version).alias("spark_version"),
         F.lit(datetime.datetime.now(datetime.timezone.utc).isoformat()).alias("execution_date"),
         F.lit(out_dir).alias("output_directory"),
         F.array(*[F.lit(f) for f in ("parquet", "csv", "json")]).alias("formats"),
-        F.lit(round(t_transform - t_start, 2)).alias("extract_transform_seconds"),
+        F.lit(PIPELINE).alias("pipeline"),
+        F.lit(round(t_extract - t_start, 2)).alias("extract_seconds"),
+        F.lit(round(t_transform - t_extract, 2)).alias("transform_seconds"),
         F.lit(round(t_load - t_transform, 2)).alias("load_seconds"),
+        F.lit(round(t_load - t_start, 2)).alias("total_seconds"),
     ).withColumn("removal_percentage", clean.half_up_percent("rows_removed", "rows_before_cleaning"))
     write_report(report, out["report"])
     return spark.read.json(out["report"]).first().asDict()
@@ -132,18 +148,23 @@ def consumer_job(stream: DataFrame, base: str, checkpoint_base: str, console: bo
     ``state_partitions`` sets the number of state partitions for checkpoints
     created now (a checkpoint keeps its count for life, whatever the session
     says later); size it for the largest expected key set."""
+    conf, key = stream.sparkSession.conf, "spark.sql.shuffle.partitions"
+    before = conf.get(key)
     if state_partitions:
-        stream.sparkSession.conf.set("spark.sql.shuffle.partitions", str(state_partitions))
+        conf.set(key, str(state_partitions))
     enriched = sw.with_quality_metrics(sw.enrich(stream))
     windowed = sw.windowed_measures(enriched, window, watermark)
     started = []
-    if console:
-        started.append(sq.start_console_update(windowed, processing_time, available_now,
-                                               checkpoint=f"{checkpoint_base}/console"))
-    if parquet:
-        rows = sw.to_unified(windowed, with_grain=with_grain)
-        started.append(sq.start_parquet_append(rows, root_of(base, STREAMING), f"{checkpoint_base}/parquet",
-                                               processing_time, available_now, partition_by=["year"]))
+    try:
+        if console:
+            started.append(sq.start_console_update(windowed, processing_time, available_now,
+                                                   checkpoint=f"{checkpoint_base}/console"))
+        if parquet:
+            rows = sw.to_unified(windowed, with_grain=with_grain)
+            started.append(sq.start_parquet_append(rows, root_of(base, STREAMING), f"{checkpoint_base}/parquet",
+                                                   processing_time, available_now, partition_by=["year"]))
+    finally:  # a query keeps the session's settings of its start
+        conf.set(key, before)
     return started
 
 

@@ -19,6 +19,11 @@ def xmean(e: str) -> str:
     )
 
 
+def xavg(e: str) -> str:
+    """Unrounded mean: one division of the exact sum of cents by the count."""
+    return f"(CAST(sum(CAST(round(({e}) * 100) AS BIGINT)) AS DOUBLE) / CAST(count({e}) * 100 AS DOUBLE))"
+
+
 def sround(e: str, d: int) -> str:
     return f"CAST(round(CAST(CAST(({e}) AS VARCHAR) AS DECIMAL(38,15)), {d}) AS DOUBLE)"
 
@@ -184,6 +189,18 @@ def _payload(fields: str, src: str, source: str, where: str = "") -> str:
 
 # ----------------------------------------------------------------- the set
 
+YEAR_MONTHS = f"""SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS year,
+       {xmean('o_totalprice')} AS avg_temperature, count(*) AS num_records FROM orders GROUP BY 1"""
+
+# Events as the multi-batch streams see them; the period is the eighth of the time range.
+EVENT_RANGE = "(SELECT min(epoch(date_trunc('second', ts))) AS lo, max(epoch(date_trunc('second', ts))) AS hi FROM events)"
+NOT_LATE = f"""(SELECT e.* FROM events e, {EVENT_RANGE} r
+  WHERE NOT (event_id % 10 = 0 AND floor((epoch(date_trunc('second', ts)) - lo) * 8 / greatest(1, hi - lo + 1)) < 2))"""
+WITH_TIME = "(SELECT * FROM events WHERE event_id % 9 <> 0)"
+RECORDS_NOT_LATE = RECORDS.replace("FROM events", f"FROM {NOT_LATE}", 1)
+RECORDS_WITH_TIME = RECORDS.replace("FROM events", f"FROM {WITH_TIME}")
+
+
 SQL: dict[str, str] = {
     "null_profile": f"""WITH {ORDERS_FAULTY}
 SELECT count(CASE WHEN dt IS NULL THEN 1 END) AS dt,
@@ -206,7 +223,17 @@ FROM c""",
     "mean_by_country": f"WITH {LINE_CLEAN} "
     + _by("country", "country", "lc", "avg_temperature DESC NULLS LAST, country ASC NULLS FIRST LIMIT 10",
           f", {xmean('uncertainty')} AS avg_uncertainty"),
+    "mean_by_country_many": f"""WITH l AS (SELECT l_suppkey AS country, l_extendedprice AS temperature, l_tax AS uncertainty FROM lineitem)
+SELECT country, {xmean('temperature')} AS avg_temperature, {xmean('uncertainty')} AS avg_uncertainty, count(*) AS num_records
+FROM l GROUP BY country ORDER BY avg_temperature DESC NULLS LAST, country LIMIT 10""",
+    "mean_by_country_ref": f"""SELECT l_returnflag AS country, {sround('avg(l_extendedprice)', 2)} AS avg_temperature,
+       {sround('avg(l_tax)', 2)} AS avg_uncertainty, count(*) AS num_records
+FROM lineitem GROUP BY l_returnflag ORDER BY avg_temperature DESC, country LIMIT 10""",
     "mean_by_year": MEAN_BY_YEAR,
+    "mean_by_year_ref": f"""SELECT CAST(year(o_orderdate) AS INTEGER) AS year, {sround('avg(o_totalprice)', 2)} AS avg_temperature,
+       count(*) AS num_records FROM orders GROUP BY year(o_orderdate)""",
+    "first_months": f"{YEAR_MONTHS} ORDER BY year ASC LIMIT 10",
+    "last_months": f"{YEAR_MONTHS} ORDER BY year DESC LIMIT 10",
     "first_years": f"WITH {ORDERS_CLEAN} " + _by("year", "year", "oc", "year ASC LIMIT 10"),
     "last_years": f"WITH {ORDERS_CLEAN} " + _by("year", "year", "oc", "year DESC LIMIT 10"),
     "hottest": f"{CITY_MEANS} ORDER BY avg_temperature DESC NULLS LAST, city, country LIMIT 10",
@@ -280,6 +307,10 @@ SELECT rows_before_cleaning, rows_after_cleaning, rows_before_cleaning - rows_af
 FROM r""",
     "stream_windows": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_csv_windows": f"WITH {RECORDS} SELECT * FROM closed",
+    "stream_late": f"WITH {RECORDS_NOT_LATE} SELECT * FROM closed",
+    "stream_null_time": f"WITH {RECORDS_WITH_TIME} SELECT * FROM closed",
+    "stream_restart": f"WITH {RECORDS} SELECT * FROM closed",
+    "stream_update_batches": f"WITH {RECORDS} SELECT * FROM win",
     "stream_unified": STREAM_UNIFIED,
     "stream_update": f"WITH {RECORDS} SELECT * FROM win",
     "unified": f"WITH {UNIFIED} SELECT * FROM u",
@@ -295,6 +326,15 @@ GROUP BY "City", "Country" ORDER BY temp_moy DESC NULLS LAST, "City", "Country"
     "source_compare": f"""WITH {UNIFIED}
 SELECT source, count(*) AS nb_enregistrements, {xmean('temperature_moyenne')} AS temp_moyenne_globale
 FROM u GROUP BY source HAVING (SELECT count(DISTINCT source) FROM u) > 1""",
+    "source_compare_one": f"""WITH {UNIFIED}
+SELECT source, count(*) AS nb_enregistrements, {xmean('temperature_moyenne')} AS temp_moyenne_globale
+FROM u WHERE source = 'batch' GROUP BY source HAVING (SELECT count(DISTINCT source) FROM u WHERE source = 'batch') > 1""",
+    "source_compare_ref": f"""WITH {UNIFIED}
+SELECT source, count(*) AS nb_enregistrements, {xavg('temperature_moyenne')} AS temp_moyenne_globale
+FROM u GROUP BY source HAVING (SELECT count(DISTINCT source) FROM u) > 1""",
+    "recent_top5_ref": f"""WITH {UNIFIED}
+SELECT "City", "Country", {xavg('temperature_moyenne')} AS temp_moy FROM u WHERE year >= 2000
+GROUP BY "City", "Country" ORDER BY temp_moy DESC NULLS LAST, "City", "Country" LIMIT 5""",
     "stream_latest_per_key": LATEST_PER_USER,
     "latest_per_key": LATEST_PER_USER,
     "stream_stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
@@ -324,6 +364,18 @@ SELECT event_type, mean_value, CAST(rank() OVER (ORDER BY mean_value DESC) AS IN
     ),
     "normalise_rejects": "SELECT l_orderkey * 8 + l_linenumber AS record_id, 'unknown' AS vendor, '{}' AS payload "
     "FROM lineitem WHERE l_linenumber % 4 = 3",
+    "normalise_point_zero": _payload(POINT_FIELDS, POINT_SRC, "point"),
+    "normalise_broken": """SELECT l_orderkey * 8 + l_linenumber AS record_id,
+       CASE l_linenumber % 4 WHEN 0 THEN 'point' WHEN 1 THEN 'current' WHEN 2 THEN 'main_wind' ELSE 'unknown' END AS vendor,
+       CASE WHEN l_orderkey % 5 = 0 THEN '{"current": {' ELSE '{}' END AS payload
+FROM lineitem WHERE l_linenumber % 4 = 3 OR l_orderkey % 5 = 0""",
+    "normalise_routed_broken": " UNION ALL ".join(
+        [
+            _payload(POINT_FIELDS, POINT_SRC, "point", "WHERE l_linenumber % 4 = 0 AND l_orderkey % 5 <> 0"),
+            _payload(CURRENT_FIELDS, "lineitem", "current", "WHERE l_linenumber % 4 = 1 AND l_orderkey % 5 <> 0"),
+            _payload(MAIN_FIELDS, "lineitem", "main_wind", "WHERE l_linenumber % 4 = 2 AND l_orderkey % 5 <> 0"),
+        ]
+    ),
     "roundtrip_parquet": f"WITH {ORDERS_CLEAN} SELECT * FROM oc",
     "roundtrip_csv": MEAN_BY_YEAR,
     "roundtrip_json": f"{CITY_MEANS} ORDER BY avg_temperature DESC NULLS LAST, city, country LIMIT 10",

@@ -90,16 +90,18 @@ def history_from_orders(spark: SparkSession, sf_dir: str, faults: bool = False)
     )
 
 
-def history_from_lineitem(spark: SparkSession, sf_dir: str, city: str = "l_partkey") -> DataFrame:
+def history_from_lineitem(spark: SparkSession, sf_dir: str, city: str = "l_partkey",
+                          country: str = "l_returnflag") -> DataFrame:
     """``city`` picks the key standing for the city: parts (many small groups)
-    or suppliers (``l_suppkey``: groups of about 200 lines)."""
+    or suppliers (``l_suppkey``: groups of about 200 lines); ``country`` the one
+    standing for the country."""
     li = table(spark, sf_dir, "lineitem")
     return li.select(
         _landed_date("l_shipdate").alias("dt"),
         F.col("l_extendedprice").alias("AverageTemperature"),
         F.col("l_tax").alias("AverageTemperatureUncertainty"),
         F.col(city).alias("City"),
-        F.col("l_returnflag").alias("Country"),
+        F.col(country).alias("Country"),
         F.col("l_linestatus").alias("Latitude"),
         F.col("l_orderkey").cast("string").alias("Longitude"),
     )
@@ -201,9 +203,14 @@ _PAYLOAD_COLUMNS = ["l_orderkey", "l_partkey", "l_linenumber", "l_quantity", "l_
 PAYLOADS = {"point": point_payload, "current": current_payload, "main_wind": main_wind_payload}
 
 
-def payloads_from_lineitem(spark: SparkSession, sf_dir: str, vendor: str | None = None) -> DataFrame:
+BROKEN = 5  # every so many line items, with faults, a payload is cut off
+
+
+def payloads_from_lineitem(spark: SparkSession, sf_dir: str, vendor: str | None = None, faults: bool = False) -> DataFrame:
     """Landed raw payloads, one per line item.
 
+    With ``faults`` the payload of every ``BROKEN``-th order is cut off.
+
     With ``vendor`` every row has that shape; without, the shape is chosen by
     ``l_linenumber mod 4`` (point, current, main_wind, and an unknown vendor)."""
     # only the columns the payloads use, then spread: JSON building is CPU-heavy per row
@@ -220,4 +227,6 @@ def payloads_from_lineitem(spark: SparkSession, sf_dir: str, vendor: str | None
         F.when(m == 0, point_payload(li)).when(m == 1, current_payload(li)).when(m == 2, main_wind_payload(li))
         .otherwise(F.lit("{}"))
     )
+    if faults:
+        payload = F.when(F.col("l_orderkey") % BROKEN == 0, F.lit('{"current": {')).otherwise(payload)
     return li.select(*ctx, vendor_col.alias("vendor"), payload.alias("payload"))

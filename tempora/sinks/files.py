@@ -37,7 +37,8 @@ def write_yearly(yearly: DataFrame, path: str, rerun_years_only: bool = False) -
 
     A full run overwrites the root (a rerun never duplicates rows). With
     ``rerun_years_only`` only the years present in ``yearly`` are replaced
-    (dynamic partition overwrite). Files are sorted by (Country, City)."""
+    (dynamic partition overwrite). Within its year a file is in the total order
+    (Country, City, year); ``ordered`` gives that order over a whole table."""
     out = as_unified(yearly).hint("rebalance", "year").sortWithinPartitions("year", "Country", "City")
     writer = out.write.mode("overwrite").partitionBy("year")
     if rerun_years_only:

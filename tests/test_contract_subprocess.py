@@ -17,7 +17,7 @@ import __spark_entry__ as e
 df = e.entry(spark)
 assert df.count() > 0 and df.columns == ["City", "Country", "year", "temperature_moyenne", "source"]
 q, o = e.queries(), e.oracle_sql()
-assert set(q) == set(o)
+assert set(o) <= set(q)
 for key in ["stream_windows", "evolution", "yearly_mean"]:
     assert q[key](spark, "/root/testdata/sf0.001").count() > 0, key
 print("CONTRACT OK", len(q))
