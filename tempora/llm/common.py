@@ -10,7 +10,7 @@ from __future__ import annotations
 
 import os
 
-from pyspark.sql import Column, DataFrame, SparkSession
+from pyspark.sql import Column, DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from tempora.session import scratch_path
@@ -55,6 +55,26 @@ def on_workers(df: DataFrame) -> DataFrame:
     return df
 
 
+def smallest_hashes(rows: DataFrame, label: str, k: int) -> DataFrame:
+    """For each value of ``label`` the ``k`` rows of ``rows`` (doc_id and others,
+    distinct) with the smallest hash of their doc_id: a sample that is the same
+    on every run. Only rows below a hash that some four times k of a label's
+    rows can be expected to lie under are ranked, so the ranking's tasks do not
+    grow with the input. The labels themselves must be few: their counts are
+    brought to the driver."""
+    u = F.shiftrightunsigned(F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))), 1)
+    counts = rows.groupBy(label).agg(F.count(F.lit(1)).alias("n")).collect()
+    if not counts:
+        return rows
+    bound = None
+    for r in counts:
+        limit = F.lit(min((1 << 63) - 1, (1 << 63) * 4 * k // r["n"]))
+        bound = F.when(F.col(label) == F.lit(r[label]), limit) if bound is None else bound.when(F.col(label) == F.lit(r[label]), limit)
+    rank = Window.partitionBy(label).orderBy("_hash", "doc_id")
+    few = rows.withColumn("_hash", u).where(F.col("_hash") <= bound)
+    return few.withColumn("_rank", F.row_number().over(rank)).where(F.col("_rank") <= k).drop("_hash", "_rank")
+
+
 def table(spark: SparkSession, sf_dir: str, name: str) -> DataFrame:
     return spark.read.parquet(f"{sf_dir}/{name}.parquet")
 

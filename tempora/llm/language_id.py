@@ -33,10 +33,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import cut, on_workers, unfold, with_row
+from tempora.llm.common import cut, on_workers, smallest_hashes, unfold, with_row
 from tempora.llm.hashing import range_hashes
 
 DOCS = 500  # documents learned from, for each language
@@ -211,9 +211,8 @@ def _chunks(text: bytes) -> Iterator[bytes]:
 def train(docs: DataFrame, learn: Column, chains: int = CHAINS, per_language: int = DOCS) -> Model:
     """A model of the rows of ``docs`` that fulfil ``learn`` and have a language."""
     on_workers(docs)
-    rows = docs.select("doc_id", "lang", F.xxhash64(F.coalesce(F.col("doc_id").cast("string"), F.lit(""))).alias("h"), learn.alias("learn")).where("learn and lang is not null")
-    rank = Window.partitionBy("lang").orderBy("h", "doc_id")
-    chosen = rows.select("doc_id", "lang", "h").distinct().withColumn("r", F.row_number().over(rank)).where(F.col("r") <= per_language)
+    rows = docs.select("doc_id", "lang", learn.alias("learn")).where("learn and lang is not null").select("doc_id", "lang").distinct()
+    chosen = smallest_hashes(rows, "lang", per_language)
     chosen = cut(chosen.select(F.col("doc_id").alias("chosen_id"), F.col("lang").alias("chosen_lang")), "sample")  # DOCS rows for each language
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -31,10 +31,10 @@ from collections.abc import Callable, Iterator
 import numpy as np
 import pandas as pd
 import pyarrow as pa
-from pyspark.sql import Column, DataFrame, SparkSession, Window
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.llm.common import cut, on_workers
+from tempora.llm.common import cut, on_workers, smallest_hashes
 from tempora.llm.language_id import fold
 
 DOCS = 1500  # documents learned from, for each label
@@ -182,13 +182,12 @@ def train(docs: DataFrame, labels: DataFrame, learn: Column, per_label: int = DO
     """A network of the rows of ``docs`` that fulfil ``learn`` (a condition on doc_id) and have a quality label."""
     on_workers(docs)
     marked = labels.where("quality is not null and doc_id is not null").groupBy("doc_id").agg(F.min("quality").cast("int").alias("quality")).where(learn)
-    rank = Window.partitionBy("quality").orderBy(F.xxhash64(F.col("doc_id").cast("string")), "doc_id")
     shares = {r["quality"]: r["count"] for r in marked.groupBy("quality").count().collect()}  # one row for each label
     total = sum(shares.values())
     share = shares.get(1, 0) / total if total else 0.5
     if len(shares) < 2:
         return Network(share)
-    chosen = marked.withColumn("r", F.row_number().over(rank)).where(F.col("r") <= per_label).drop("r")
+    chosen = smallest_hashes(marked, "quality", per_label)
     chosen = cut(chosen.withColumnRenamed("doc_id", "chosen_id"), "sample")  # DOCS rows for each label
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:

@@ -190,9 +190,8 @@ def test_chunks_cover_the_text():
         assert n < 256 or (rows[0].tobytes() == raw[:256] and rows[-1].tobytes() == raw[-256:])
 
 
-def test_quality_held_out_and_odd_texts(spark, monkeypatch):
+def test_quality_held_out_and_odd_texts(spark):
     docs, labels = (spark.read.parquet(f"/root/testdata/sf0.1/{t}.parquet") for t in ("documents", "labels"))
-    monkeypatch.setattr(quality_cnn, "EPOCHS", 6)
     docs = docs.where("doc_id < 4000")
     odd = spark.createDataFrame([(-1, None, None, None, None), (-2, "", "x", "y", 0), (None, "z", "x", "y", 0)], docs.schema)
     out = {r["doc_id"]: r for r in quality_cnn.score(docs.unionByName(odd), labels.union(labels.limit(5))).collect()}
