@@ -42,7 +42,7 @@ from tempora.llm.common import cut, on_workers
 CAPACITY = 2048
 WIDTH = 16  # lengths are rounded up to so many tokens in the fit
 VOCABULARY = "word_bpe_49k.json"
-REMEMBERED = 1_000_000  # words whose ids a Python worker keeps, some 200 MB; it forgets them all when it has more
+REMEMBERED = 800_000  # words whose ids a Python worker keeps, and a quarter as many parts of words, some 200 MB; it forgets them all when it has more
 END = array("I", [0]).tobytes()
 
 _PLAIN = re.compile(rb"[!-~]+")
@@ -75,7 +75,7 @@ class Encoder(dict):
         return ids
 
     def _part(self, part: bytes) -> bytes:
-        if len(self.parts) >= REMEMBERED:
+        if len(self.parts) >= REMEMBERED // 4:
             self.parts.clear()
         self.parts[part] = ids = array("I", [x.id for x in self.tokenizer.model.tokenize(part.decode())]).tobytes()
         return ids
