@@ -11,17 +11,21 @@ earlier in the same one.
    places can lie in a repeat. The few seeds that hold a large share of all
    rows are found first by a bounded frequency summary and sent to the tasks;
    they are never shuffled, so no seed makes a hot task.
-3. Extend. Every shared seed is extended both ways, to all windows that have
-   it as their seed, and these are matched by a 128-bit hash of their words:
-   each finds the earliest place of the same words. Windows of the frequent
-   seeds are first matched within salted parts of the documents, so that one
-   passage in very many documents is spread over many tasks.
+3. Extend. A shared seed is extended both ways, to all windows that have it as
+   their seed: a run of up to ``length - gram + 1`` windows, named by a 96-bit
+   hash of all its words. Of equal runs the earliest stays and all windows of
+   the others are matched. What this leaves open are seeds with several
+   different runs around them (the edges of repeats): the windows of their
+   earliest runs are matched one by one, by a hash of their words. The
+   earliest place of a window always lies in such a run: were its run not the
+   earliest, the window would stand in an earlier one as well. Runs and windows
+   of frequent seeds are first compared within salted parts of the documents,
+   so that one passage in very many documents is spread over many tasks.
 4. Repeats. Adjacent matched windows are joined to maximal repeats of at least
    ``length`` words, and the words they cover are removed.
 
 A document whose words are all the same as those of an earlier one goes as a
-whole and takes no part in 1 to 3: every window of it starts earlier in the
-first of the copies, which does take part.
+whole; its runs are equal to earlier ones, so it adds nothing to the edges.
 
 Defined results: words are runs of bytes other than 0x20 and 0x09-0x0D, and a
 null text has none. A null doc_id counts as the largest number. Rows with the
@@ -42,27 +46,14 @@ from pyspark.sql import functions as F
 from xxhash import xxh3_128_digest
 
 from tempora.llm.common import cut, frequent, on_workers
+from tempora.llm.hashing import range_hashes
 
 LENGTH = 20
 GRAM = 8
 BLOCK = 100_000  # words of one text that are hashed at once
 SALTS = 32
+KEY = np.dtype([("k1", "<i8"), ("k2", "<i4")])  # of the words of a window or a run
 LAST = (1 << 63) - 1  # stands for a null doc_id
-_BASE = 0x9E3779B97F4A7C15 | 1
-_INVERSE = pow(_BASE, -1, 1 << 64)
-
-
-def _powers(base: int, n: int) -> np.ndarray:
-    return np.cumprod(np.concatenate([[np.uint64(1)], np.full(n - 1, base, np.uint64)]), dtype=np.uint64)
-
-
-_TABLES = {"up": _powers(_BASE, 1), "down": _powers(_INVERSE, 1)}
-
-
-def _table(name: str, base: int, n: int) -> np.ndarray:
-    if len(_TABLES[name]) < n:
-        _TABLES[name] = _powers(base, 2 * n)
-    return _TABLES[name]
 
 
 class Words:
@@ -85,17 +76,10 @@ class Words:
         """Hashes of all runs of ``gram`` words within words [first, last)."""
         begin = int(self.starts[first])
         raw = np.frombuffer(self.joined, np.uint8)[begin : int(self.ends[last - 1])]
-        up, down = _table("up", _BASE, len(raw)), _table("down", _INVERSE, len(raw))
-        total = np.zeros(len(raw) + 1, np.uint64)
-        np.cumsum((raw.astype(np.uint64) + np.uint64(1)) * up[: len(raw)], out=total[1:])
-        a, b = self.starts[first : last - gram + 1] - begin, self.ends[first + gram - 1 : last] - begin
-        h = (total[b] - total[a]) * down[a]
-        h ^= h >> np.uint64(31)
-        h *= np.uint64(0xBF58476D1CE4E5B9)
-        return h ^ (h >> np.uint64(29))
+        return range_hashes(raw, self.starts[first : last - gram + 1] - begin, self.ends[first + gram - 1 : last] - begin)
 
-    def key(self, start: int, length: int) -> bytes:
-        return xxh3_128_digest(self.joined[self.starts[start] : self.ends[start + length - 1]])
+    def key(self, start: int, length: int, salt: int = 0) -> bytes:
+        return xxh3_128_digest(self.joined[self.starts[start] : self.ends[start + length - 1]], salt)[: KEY.itemsize]
 
 
 def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
@@ -108,20 +92,31 @@ def _sliding(x: np.ndarray, width: int, best) -> np.ndarray:
     return x
 
 
-def seeds_by_window(words: Words, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray]]:
-    """For each block its first word, the seed of each window, and the hash of
-    each run of words that is the seed of a window."""
+def _leftmost_least(h: np.ndarray, width: int) -> tuple[np.ndarray, np.ndarray]:
+    """The least of each ``width`` consecutive items, and the first place that has it."""
+    at, have = np.arange(len(h)), 1
+    while have < width:
+        step = min(have, width - have)
+        right = h[step:] < h[: len(h) - step]
+        h, at = np.where(right, h[step:], h[: len(h) - step]), np.where(right, at[step:], at[: len(at) - step])
+        have += step
+    return h, at
+
+
+def seeds_by_window(words: Words, length: int = LENGTH, gram: int = GRAM) -> Iterator[tuple[int, np.ndarray, np.ndarray, np.ndarray]]:
+    """For each block its first word; the seed of each window and its place
+    (first of equal ones); and the hash of each run of words that is the seed of a window."""
     width = length - gram + 1
     for first, last in words.blocks(length):
         h = words.grams(first, last, gram)
-        least = _sliding(h, width, np.minimum)
+        least, at = _leftmost_least(h, width)
         padded = np.concatenate([np.zeros(width - 1, np.uint64), least, np.zeros(width - 1, np.uint64)])
-        yield first, least, h[h == _sliding(padded, width, np.maximum)]
+        yield first, least, at, h[h == _sliding(padded, width, np.maximum)]
 
 
 def seeds(words: Words, length: int = LENGTH, gram: int = GRAM) -> np.ndarray:
     """Distinct seeds of a text; those that it has at several places are named twice."""
-    found = [x for _, _, x in seeds_by_window(words, length, gram)]
+    found = [x for *_, x in seeds_by_window(words, length, gram)]
     value, n = np.unique(np.concatenate(found) if found else np.zeros(0, np.uint64), return_counts=True)
     # a seed at the edge of two blocks may be counted twice: that costs a look, no more
     return np.concatenate([value, value[n > 1]])
@@ -152,68 +147,121 @@ def _texts(docs: DataFrame) -> DataFrame:
 
 
 def _shared_seeds(described: DataFrame) -> DataFrame:
-    """doc, tk, seeds, hot: per document the seeds it shares (with itself or
+    """doc, seeds, hot: per document the seeds it shares (with itself or
     others) and those of them that are frequent."""
-    rows = described.select("doc", "tk", F.explode("seeds").alias("seed"))
+    rows = described.select("doc", F.explode("seeds").alias("seed"))
     named = frequent(rows, "seed").where("estimate > greatest(1, n / 20000)")
     hot = cut(named.select(F.col("item").alias("seed"), F.lit(True).alias("hot")), "hot-seeds")
     marked = rows.join(F.broadcast(hot), "seed", "left")  # at most 1,000 rows
     same = Window.partitionBy("seed")
     cold = marked.where("hot is null").withColumn("places", F.count(F.lit(1)).over(same)).where("places > 1").drop("places")
     shared = cold.unionByName(marked.where("hot"))
-    return shared.groupBy("doc", "tk").agg(F.collect_set("seed").alias("seeds"), F.collect_set(F.when(F.col("hot"), F.col("seed"))).alias("hot"))
+    return shared.groupBy("doc").agg(F.collect_set("seed").alias("seeds"), F.collect_set(F.when(F.col("hot"), F.col("seed"))).alias("hot"))
 
 
-def _matched(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
-    """doc, tk, start of every window that also starts earlier."""
+PLACE = "k1 long, k2 int, seed long, doc long, tk int, start int, n int, salt int"
+
+
+def _runs(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
+    """A row for each run of windows with one shared seed: key, seed, doc, tk,
+    first window, number of windows, salt (-1 unless the seed is frequent)."""
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
-            for doc, text, tk, marks, hot in zip(*(batch.column(c) for c in ("doc", "text", "tk", "seeds", "hot"))):
+            for doc, text, marks, hot in zip(*(batch.column(c) for c in ("doc", "text", "seeds", "hot"))):
                 words = Words(text.as_py())
-                if _tk(sha256(words.joined).digest()) != tk.as_py():
-                    continue  # another text with the same doc_id
+                tk, salt = _tk(sha256(words.joined).digest()), doc.as_py() % SALTS
                 marks, hot = (x.values.to_numpy().view(np.uint64) for x in (marks, hot))
-                for first, least, _ in seeds_by_window(words, length, gram):
-                    at = np.flatnonzero(np.isin(least, marks))
-                    if not len(at):
+                for first, least, at, _ in seeds_by_window(words, length, gram):
+                    begin = np.flatnonzero(np.r_[True, at[1:] != at[:-1]])
+                    n = np.diff(np.r_[begin, len(at)])
+                    ok = np.isin(least[begin], marks)
+                    begin, n = begin[ok], n[ok]
+                    if not len(begin):
                         continue
-                    keys = np.frombuffer(b"".join([words.key(s, length) for s in (at + first).tolist()]), np.int64).reshape(-1, 2)
-                    n = len(at)
-                    yield pa.RecordBatch.from_arrays(
-                        [pa.array(keys[:, 0].copy()), pa.array(keys[:, 1].copy()), pa.repeat(doc, n), pa.repeat(tk, n), pa.array((at + first).astype(np.int32)), pa.array(np.isin(least[at], hot))],
-                        ["k1", "k2", "doc", "tk", "start", "hot"],
-                    )
+                    spans = zip((begin + first).tolist(), (n + length - 1).tolist(), (at[begin] - begin).tolist())
+                    keys = np.frombuffer(b"".join([words.key(*x) for x in spans]), KEY)
+                    seed = least[begin]
+                    columns = [keys["k1"].copy(), keys["k2"].copy(), seed.view(np.int64), np.full(len(n), doc.as_py()), np.full(len(n), tk, np.int32)]
+                    columns += [(begin + first).astype(np.int32), n.astype(np.int32), np.where(np.isin(seed, hot), salt, -1).astype(np.int32)]
+                    yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in PLACE.split(", ")])
+
+    return texts.join(shared, "doc").select("doc", "text", "seeds", "hot").mapInArrow(each, PLACE)
 
-    windows = texts.join(shared, "doc").select("doc", "text", "tk", "seeds", "hot").mapInArrow(each, "k1 long, k2 long, doc long, tk int, start int, hot boolean")
-    later = "first_doc < doc or (first_doc = doc and first_start < start)"
 
-    def against_first(rows: DataFrame, *by: str) -> DataFrame:
+def _windows(texts: DataFrame, runs: DataFrame, length: int) -> DataFrame:
+    """The windows of ``runs``, a row each, with the key of its own words."""
+
+    def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
+        for batch in batches:
+            for doc, text, tk, own in zip(*(batch.column(c) for c in ("doc", "text", "tk", "runs"))):
+                words = Words(text.as_py())
+                if _tk(sha256(words.joined).digest()) != tk.as_py():
+                    continue  # another text with the same doc_id
+                start, n, seed, salt = (own.values.field(c).to_numpy() for c in ("start", "n", "seed", "salt"))
+                at = np.repeat(start - (np.cumsum(n) - n), n) + np.arange(n.sum())
+                keys = np.frombuffer(b"".join([words.key(x, length) for x in at.tolist()]), KEY)
+                columns = [keys["k1"].copy(), keys["k2"].copy(), np.repeat(seed, n), np.full(len(at), doc.as_py()), np.full(len(at), tk.as_py(), np.int32)]
+                columns += [at.astype(np.int32), np.ones(len(at), np.int32), np.repeat(salt, n)]
+                yield pa.RecordBatch.from_arrays([pa.array(c) for c in columns], [x.split()[0] for x in PLACE.split(", ")])
+
+    of_doc = runs.groupBy("doc", "tk").agg(F.collect_list(F.struct("start", "n", "seed", "salt")).alias("runs"))
+    return texts.join(of_doc, "doc").select("doc", "text", "tk", "runs").mapInArrow(each, PLACE)
+
+
+_LATER = "first_doc < doc or (first_doc = doc and first_start < start)"
+
+
+def _with_first(places: DataFrame) -> DataFrame:
+    """``places`` (runs or windows) with the earliest place of the same key, in
+    two steps: among the places with one salt, then among the first of each
+    salt. Returns the later places of either step, and the earliest ones,
+    marked by ``later``.
+
+    All branches of the plan that use the result read one shuffle of
+    ``places``. For that its columns must be the same in each, so a condition
+    that always holds names all of them above the window; and no condition may
+    be one that could be moved below it."""
+    names = [x.split()[0] for x in PLACE.split(", ")]
+    whole = f"bit_count(xxhash64(first_doc, {', '.join(names)})) >= 0"
+
+    def against(rows: DataFrame, *by: str) -> DataFrame:
         order = Window.partitionBy(*by).orderBy("doc", "start").rowsBetween(Window.unboundedPreceding, 0)
-        return rows.withColumn("first_doc", F.first("doc").over(order)).withColumn("first_start", F.first("start").over(order))
+        return rows.withColumn("first_doc", F.first("doc").over(order)).withColumn("first_start", F.first("start").over(order)).where(whole)
+
+    parts = against(places, "k1", "k2", "salt").select(*names, F.expr(_LATER).alias("later"))
+    done = parts.where("case when later then true else salt < 0 end")
+    tops = against(parts.where("case when later then false else salt >= 0 end").select(*names), "k1", "k2").select(*names, F.expr(_LATER).alias("later"))
+    return done.unionByName(tops)
 
-    # A key has one seed, so it is frequent for all its windows or for none. Windows of
-    # frequent seeds are compared within salted parts, then the first of each part.
-    parts = against_first(windows.withColumn("salt", F.when(F.col("hot"), F.pmod(F.hash("doc"), F.lit(SALTS))).otherwise(-1)), "k1", "k2", "salt")
-    tops = against_first(parts.where(f"hot and not ({later})").select("k1", "k2", "doc", "tk", "start"), "k1", "k2")
-    return parts.where(later).select("doc", "tk", "start").unionByName(tops.where(later).select("doc", "tk", "start"))
+
+def _matched(texts: DataFrame, shared: DataFrame, length: int, gram: int) -> DataFrame:
+    """doc, tk, start, n: every n windows from ``start`` on that also start earlier."""
+    runs = _with_first(_runs(texts, shared, length, gram))
+    earliest = runs.where("not later").drop("later")
+    open_seeds = earliest.groupBy("seed").agg(F.min("k1").alias("a"), F.max("k1").alias("b"), F.min("k2").alias("c"), F.max("k2").alias("d"))
+    open_seeds = open_seeds.where("a <> b or c <> d").select("seed")
+    edges = _with_first(_windows(texts, earliest.join(open_seeds, "seed"), length))
+    return runs.where("later").select("doc", "tk", "start", "n").unionByName(edges.where("later").select("doc", "tk", "start", "n"))
 
 
 def _tk(digest: bytes) -> int:
     return int.from_bytes(digest[:4], "little", signed=True)
 
 
-def _without(words: Words, starts: np.ndarray, length: int) -> tuple[bytes, int, list[dict]]:
-    """What is left of a text, the number of words removed, and its maximal repeats."""
-    starts = np.sort(starts)
+def _without(words: Words, starts: np.ndarray, n: np.ndarray, length: int) -> tuple[bytes, int, list[dict]]:
+    """What is left of a text without ``n`` windows from each of ``starts`` on,
+    the number of words removed, and the text's maximal repeats."""
     edge = np.zeros(words.n + 1, np.int64)
-    edge[starts] += 1
-    np.subtract.at(edge, starts + length, 1)
+    np.add.at(edge, starts, 1)
+    np.subtract.at(edge, starts + n + length - 1, 1)
     covered = np.cumsum(edge[:-1]) > 0
     kept = b" ".join([words.joined[a:b] for a, b in zip(words.starts[~covered].tolist(), words.ends[~covered].tolist())])
-    begin = np.flatnonzero(np.r_[True, np.diff(starts) > 1])
-    last = starts[np.r_[begin[1:] - 1, len(starts) - 1]] + length
-    return kept, int(covered.sum()), [{"first": a, "last": b} for a, b in zip(starts[begin].tolist(), (last - 1).tolist())]
+    matched = np.zeros(words.n + 1, np.int64)
+    np.add.at(matched, starts, 1)
+    np.subtract.at(matched, starts + n, 1)
+    side = np.flatnonzero(np.diff(np.r_[0, np.cumsum(matched) > 0].astype(np.int8)))
+    return kept, int(covered.sum()), [{"first": a, "last": b + length - 2} for a, b in zip(side[::2].tolist(), side[1::2].tolist())]
 
 
 def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bool = False) -> DataFrame:
@@ -227,11 +275,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
     groups = described.groupBy("sha").agg(F.min("doc").alias("first"), F.max("doc").alias("last"))
     copied = cut(groups.where("first < last").select("sha", "first"), "copied")
     marked = described.join(copied, "sha", "left").withColumn("copy", F.coalesce(F.col("first") < F.col("doc"), F.lit(False)) & (F.col("n_words") >= length))
-    shared = _shared_seeds(marked.where("not copy"))
+    shared = _shared_seeds(described)  # copies included: to leave them out, all lists of seeds would be shuffled
 
     n = int(docs.sparkSession.conf.get("spark.sql.shuffle.partitions"))
     texts = _texts(docs).repartition(n, "doc")  # shuffled once: both joins read it
-    starts = _matched(texts, shared, length, gram).groupBy("doc", "tk").agg(F.collect_set("start").alias("starts"))
+    starts = _matched(texts, shared, length, gram).groupBy("doc", "tk").agg(F.collect_set(F.struct("start", "n")).alias("starts"))
 
     def each(batches: Iterator[pa.RecordBatch]) -> Iterator[pa.RecordBatch]:
         for batch in batches:
@@ -240,7 +288,7 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
                 words = Words(text.as_py())
                 if _tk(sha256(words.joined).digest()) != tk.as_py():
                     continue
-                kept, removed, spans = _without(words, found.values.to_numpy(), length)
+                kept, removed, spans = _without(words, found.values.field("start").to_numpy(), found.values.field("n").to_numpy(), length)
                 rows.append((doc.as_py(), tk.as_py(), removed, sha256(kept).digest(), spans, kept if with_text else None))
             columns = list(zip(*rows)) if rows else [()] * 6
             kinds = [pa.int64(), pa.int32(), pa.int64(), pa.binary(), pa.list_(pa.struct([("first", pa.int64()), ("last", pa.int64())])), pa.binary()]
@@ -260,11 +308,11 @@ def dedup(docs: DataFrame, length: int = LENGTH, gram: int = GRAM, with_text: bo
     if not with_text:
         return out
     as_words = F.trim(F.regexp_replace("text", "[\\x20\\x09-\\x0D]+", " "))
-    intact = _texts(docs).select("doc", F.decode("text", F.lit("UTF-8")).alias("text")).withColumn("words", as_words)
+    intact = _texts(docs).select("doc", F.decode("text", "UTF-8").alias("text")).withColumn("words", as_words)
     intact = intact.select("doc", F.sha2(F.col("words").cast("binary"), 256).alias("words_sha"), "words").dropDuplicates(["doc", "words_sha"])
     described_sha = marked.select("doc", "tk", F.lower(F.hex("sha")).alias("words_sha")).dropDuplicates(["doc", "tk"])
     intact = intact.join(described_sha, ["doc", "words_sha"]).select("doc", "tk", "words")
-    text = F.when(F.col("copy"), F.lit("")).otherwise(F.coalesce(F.decode("cut_text", F.lit("UTF-8")), "words", F.lit("")))
+    text = F.when(F.col("copy"), F.lit("")).otherwise(F.coalesce(F.decode("cut_text", "UTF-8"), "words", F.lit("")))
     return out.join(intact, ["doc", "tk"], "left").select("doc_id", "n_words", "n_removed", "kept_sha256", "repeats", text.alias("text"))
 
 

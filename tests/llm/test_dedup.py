@@ -159,8 +159,8 @@ def test_substring(spark, monkeypatch):
 def test_long_texts_in_blocks(monkeypatch):
     text = " ".join(f"w{i % 97}" for i in range(400)).encode()
     whole = substring_dedup.Words(text)
-    want = [x for _, least, _ in substring_dedup.seeds_by_window(whole) for x in least.tolist()]
+    want = [x for _, least, _, _ in substring_dedup.seeds_by_window(whole) for x in least.tolist()]
     monkeypatch.setattr(substring_dedup, "BLOCK", 50)
-    assert [x for _, least, _ in substring_dedup.seeds_by_window(whole) for x in least.tolist()] == want
+    assert [x for _, least, _, _ in substring_dedup.seeds_by_window(whole) for x in least.tolist()] == want
     monkeypatch.setattr(simhash, "BLOCK", 50)
     assert simhash.fingerprint(text) == plain_fingerprint(text.decode())
