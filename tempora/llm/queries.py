@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, language_id, mixing, packing, pii, quality_cnn, simhash, substring_dedup, topk_search, warc
+from tempora.llm import exact_dedup, fill_middle, language_id, mixing, packing, pii, quality_cnn, simhash, substring_dedup, topk_search, toxicity, warc
 from tempora.llm.common import table
 
 QUERIES = {
@@ -16,6 +16,8 @@ QUERIES = {
     "op7_mix_sources": lambda spark, sf_dir: mixing.mix_report(table(spark, sf_dir, "documents")),
     "op8_topk_search": lambda spark, sf_dir: topk_search.top_k(table(spark, sf_dir, "embeddings")),
     "op10_substring_dedup": lambda spark, sf_dir: substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("repeats"),
+    "op11_nb_toxicity": lambda spark, sf_dir: toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
+    "op12_fill_middle": lambda spark, sf_dir: fill_middle.report(table(spark, sf_dir, "documents")),
 }
 
 SQL = {
@@ -24,4 +26,5 @@ SQL = {
     "op7_mix_sources": mixing.ORACLE.format(documents="documents"),
     "op8_topk_search": topk_search.ORACLE.format(embeddings="embeddings"),
     "op10_substring_dedup": substring_dedup.ORACLE.format(documents="documents"),
+    "op12_fill_middle": fill_middle.ORACLE.format(documents="documents"),
 }
