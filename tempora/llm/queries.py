@@ -2,7 +2,7 @@
 
 from __future__ import annotations
 
-from tempora.llm import exact_dedup, fill_middle, language_id, mixing, packing, pii, quality_cnn, simhash, substring_dedup, topk_search, toxicity, warc
+from tempora.llm import exact_dedup, fill_middle, language_id, mixing, packing, pii, prefix_trie, quality_cnn, simhash, substring_dedup, topk_search, toxicity, warc
 from tempora.llm.common import table
 
 QUERIES = {
@@ -18,6 +18,7 @@ QUERIES = {
     "op10_substring_dedup": lambda spark, sf_dir: substring_dedup.dedup(table(spark, sf_dir, "documents")).drop("repeats"),
     "op11_nb_toxicity": lambda spark, sf_dir: toxicity.score(table(spark, sf_dir, "documents"), table(spark, sf_dir, "labels")),
     "op12_fill_middle": lambda spark, sf_dir: fill_middle.report(table(spark, sf_dir, "documents")),
+    "op13_prefix_trie": lambda spark, sf_dir: prefix_trie.trie(table(spark, sf_dir, "conversations")),
 }
 
 SQL = {
@@ -27,4 +28,5 @@ SQL = {
     "op8_topk_search": topk_search.ORACLE.format(embeddings="embeddings"),
     "op10_substring_dedup": substring_dedup.ORACLE.format(documents="documents"),
     "op12_fill_middle": fill_middle.ORACLE.format(documents="documents"),
+    "op13_prefix_trie": prefix_trie.ORACLE.format(conversations="conversations"),
 }
