@@ -79,7 +79,7 @@ def _digits(text: str) -> str:
 
 
 def _octets(text: str) -> bool:
-    return all(len(p.lstrip("0")) <= 3 and int(p) <= 255 for p in text.split("."))
+    return all(len(p) <= 3 and int(p or "0") <= 255 for p in (x.lstrip("0") for x in text.split(".")))
 
 
 def emails(text: str) -> Iterator[tuple[int, int]]:
