@@ -17,10 +17,11 @@ from tempora.operators import analysis, clean, series, unified, vendors
 from tempora.operators.partitioning import spread
 from tempora.plans import jobs, tables
 from tempora.session import scratch_path
-from tempora.sinks import files
+from tempora.sinks import files, landing
 from tempora.sinks.report import run_report as build_report
 from tempora.sources.stream import decode_json, read_parquet_stream, read_record_csv_stream
 from tempora.sources.unified import BATCH, STREAMING, read_unified, root_of
+from tempora.streaming import accounting
 from tempora.streaming import queries as sq
 from tempora.streaming import windows as sw
 
@@ -33,7 +34,7 @@ ORDER_LOW = 5000.0
 ORDER_HIGH = 495000.0
 RECENT_SINCE = 2000
 EVOLUTION_WINDOW = "1 day"
-STREAM_PERIODS = 8  # landed event-time periods, one micro-batch each
+STREAM_FILES = 8  # files of a landing at least, one micro-batch each
 
 
 # ---------------------------------------------------------------- historical
@@ -184,9 +185,9 @@ def run_report(spark, sf_dir):
 
 def _landed_orders_csv(spark, sf_dir) -> str:
     """Orders (with injected defects) landed as header CSV text under the shared folder."""
-    landing = scratch_path(spark, "history-csv")
-    files.write_history_csv(spread(tables.history_from_orders(spark, sf_dir, faults=True)), landing)
-    return landing
+    where = scratch_path(spark, "history-csv")
+    files.write_history_csv(spread(tables.history_from_orders(spark, sf_dir, faults=True)), where)
+    return where
 
 
 def batch_job_csv(spark, sf_dir):
@@ -241,29 +242,20 @@ def _run_append(spark, df: DataFrame, name: str, allow_late: bool = False) -> st
     return out
 
 
-def _periods(events: DataFrame) -> tuple[DataFrame, list[int]]:
-    """``events`` with the number of its event-time period (rows without a time
-    go with the first), and the periods in order. Only two timestamps are
-    brought to the driver."""
-    at = F.unix_seconds(F.col("ts").cast("timestamp"))
-    lo, hi = events.agg(F.min(at), F.max(at)).first()
-    if lo is None:
-        return events.withColumn("_period", F.lit(0)), [0]
-    share = (at - F.lit(lo)) * F.lit(STREAM_PERIODS) / F.lit(max(1, hi - lo + 1))
-    return events.withColumn("_period", F.coalesce(F.floor(share), F.lit(0)).cast("int")), list(range(STREAM_PERIODS))
+def _stage(spark, records: DataFrame, least: int = STREAM_FILES) -> list[str]:
+    """Records staged as CSV files in event-time order, ``least`` at least."""
+    return landing.stage_in_order(records, scratch_path(spark, "staging"), least=least)
 
 
-def _land_csv(events: DataFrame, periods: list[int], landing: str) -> str:
-    """One CSV record file per period, landed one after the other: a stream
-    takes files in the order in which they were landed."""
-    for k in periods:
-        files.land_records_csv(tables.events_as_records(events.where(F.col("_period") == k)).coalesce(1), landing)
-    return landing
+def _land(spark, records: DataFrame) -> str:
+    where = scratch_path(spark, "landing")
+    landing.publish(spark, _stage(spark, records), where)
+    return where
 
 
-def _landed_windows(spark, landing: str, exact: bool = True) -> DataFrame:
+def _landed_windows(spark, where: str, exact: bool = True) -> DataFrame:
     """Windows of a landing folder, read one file per trigger as the reference does."""
-    return sw.flatten_window(sw.windowed_measures(sw.enrich(read_record_csv_stream(spark, landing)), exact=exact))
+    return sw.flatten_window(sw.windowed_measures(sw.enrich(read_record_csv_stream(spark, where)), exact=exact))
 
 
 def stream_windows(spark, sf_dir):
@@ -271,51 +263,138 @@ def stream_windows(spark, sf_dir):
     return spark.read.parquet(out)
 
 
+def _event_records(spark, sf_dir) -> DataFrame:
+    return tables.events_as_records(_events(spark, sf_dir))
+
+
 def stream_csv_windows(spark, sf_dir):
-    """Events landed as CSV record files, one per event-time period, then read
-    back as a CSV file stream, one file per trigger."""
-    landing = _land_csv(*_periods(_events(spark, sf_dir)), scratch_path(spark, "landing"))
-    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-csv"))
+    """Events landed as CSV record files in event-time order, then read back as
+    a CSV file stream, one file per trigger."""
+    where = _land(spark, _event_records(spark, sf_dir))
+    return spark.read.parquet(_run_append(spark, _landed_windows(spark, where), "stream-csv"))
+
+
+def _land_late(spark, sf_dir) -> str:
+    """Every tenth event of the first quarter of the time range is landed after all others."""
+    events = _events(spark, sf_dir)
+    at = F.unix_seconds(F.col("ts").cast("timestamp"))
+    lo, hi = events.agg(F.min(at), F.max(at)).first()
+    held = F.lit(False)
+    if lo is not None:
+        first = (at - F.lit(lo)) * F.lit(4) / F.lit(max(1, hi - lo + 1)) < 1
+        held = F.coalesce((F.col("event_id") % 10 == 0) & first, F.lit(False))
+    events = events.withColumn("_held", held)
+    where = scratch_path(spark, "landing")
+    for late, least in ((False, STREAM_FILES), (True, 1)):
+        rows = tables.events_as_records(events.where(F.col("_held") == late))
+        landing.publish(spark, _stage(spark, rows, least), where)
+    return where
+
+
+def _late_run(spark, sf_dir) -> tuple[str, str]:
+    """Output and checkpoint of a stream whose last files come behind the watermark."""
+    out, ckpt = (scratch_path(spark, f"stream-late-{x}") for x in ("out", "ckpt"))
+    windows = _landed_windows(spark, _land_late(spark, sf_dir))
+    sq.run_to_completion(sq.start_parquet_append(windows, out, ckpt, available_now=True), allow_late=True)
+    return out, ckpt
 
 
 def stream_late(spark, sf_dir):
-    """Every tenth event of the first quarter is landed after all others: it
-    comes behind the watermark and is dropped."""
-    events, periods = _periods(_events(spark, sf_dir))
-    held = (F.col("event_id") % 10 == 0) & (F.col("_period") < STREAM_PERIODS // 4)
-    events = events.withColumn("_period", F.when(held, F.lit(STREAM_PERIODS)).otherwise(F.col("_period")))
-    landing = _land_csv(events, [*periods, STREAM_PERIODS], scratch_path(spark, "landing"))
-    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-late", allow_late=True))
+    """Rows that come behind the watermark are dropped."""
+    return spark.read.parquet(_late_run(spark, sf_dir)[0])
+
+
+def stream_late_account(spark, sf_dir):
+    """The account kept beside the checkpoint of that stream: rows read, groups
+    (window and keys within a batch) dropped, and whether every batch was counted."""
+    account = accounting.account(spark, _late_run(spark, sf_dir)[1])
+    columns = "n_read long, groups_dropped long, complete boolean"
+    return spark.createDataFrame([(account.rows, account.dropped, account.complete)], columns)
 
 
 def stream_null_time(spark, sf_dir):
     """Every ninth event has no time: it belongs to no window."""
     events = _events(spark, sf_dir).withColumn("ts", F.when(F.col("event_id") % 9 != 0, F.col("ts")))
-    landing = _land_csv(*_periods(events), scratch_path(spark, "landing"))
-    return spark.read.parquet(_run_append(spark, _landed_windows(spark, landing), "stream-null-time"))
+    where = _land(spark, tables.events_as_records(events))
+    return spark.read.parquet(_run_append(spark, _landed_windows(spark, where), "stream-null-time"))
 
 
 def stream_restart(spark, sf_dir):
     """The stream is run on half of the landed files, then started again with
     the same checkpoint on all of them: as if it had never stopped."""
-    events, periods = _periods(_events(spark, sf_dir))
-    landing, out, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "ckpt"))
-    half = len(periods) // 2
-    for part in (periods[:half], periods[half:]):
-        _land_csv(events, part, landing)
-        sq.run_to_completion(sq.start_parquet_append(_landed_windows(spark, landing), out, ckpt, available_now=True))
+    where, out, ckpt = (scratch_path(spark, f"restart-{x}") for x in ("in", "out", "ckpt"))
+    staged = _stage(spark, _event_records(spark, sf_dir))
+    half = len(staged) // 2
+    for part in (staged[:half], staged[half:]):
+        landing.publish(spark, part, where)
+        sq.run_to_completion(sq.start_parquet_append(_landed_windows(spark, where), out, ckpt, available_now=True))
     return spark.read.parquet(out)
 
 
+def stream_trigger(spark, sf_dir):
+    """A processing-time trigger, one file each: run until every file and the
+    batch that closes the last windows have been processed, then stopped."""
+    staged, where = _stage(spark, _event_records(spark, sf_dir)), scratch_path(spark, "landing")
+    landing.publish(spark, staged, where)
+    out, ckpt = (scratch_path(spark, f"stream-trigger-{x}") for x in ("out", "ckpt"))
+    query = sq.start_parquet_append(_landed_windows(spark, where), out, ckpt, processing_time="200 milliseconds")
+    sq.run_batches(query, len(staged) + 1)
+    return spark.read.parquet(out)
+
+
+WINDOW_KEYS = ["window_start", "window_end", "city", "country"]
+
+
 def stream_update_batches(spark, sf_dir):
     """Update mode over several micro-batches, folded and compacted: the latest
     figures of every window, open ones included."""
-    landing = _land_csv(*_periods(_events(spark, sf_dir)), scratch_path(spark, "landing"))
+    where = _land(spark, _event_records(spark, sf_dir))
     path, ckpt, small = (scratch_path(spark, f"update-batches-{x}") for x in ("out", "ckpt", "compact"))
-    sq.run_to_completion(sq.start_update_table(_landed_windows(spark, landing), path, ckpt, available_now=True))
-    keys = ["window_start", "window_end", "city", "country"]
-    sq.compact_updates(spark, path, small, keys)
-    return sq.latest_updates(spark, small, keys)
+    sq.run_to_completion(sq.start_update_table(_landed_windows(spark, where), path, ckpt, available_now=True))
+    sq.compact_updates(spark, path, small, WINDOW_KEYS)
+    return sq.latest_updates(spark, small, WINDOW_KEYS)
+
+
+def stream_two_queries(spark, sf_dir):
+    """One landing feeds two queries at once, each with its own checkpoint: update
+    mode into an update table, append mode into Parquet. Every window of the
+    first, whether the second has closed it, and whether both agree on it."""
+    where = _land(spark, _event_records(spark, sf_dir))
+    updates, closed = (scratch_path(spark, f"two-queries-{x}") for x in ("updates", "closed"))
+    windows = _landed_windows(spark, where)
+    sq.await_all([
+        sq.start_update_table(windows, updates, f"{updates}-ckpt", available_now=True),
+        sq.start_parquet_append(windows, closed, f"{closed}-ckpt", available_now=True),
+    ], allow_late=False)
+    measures = ["nb_mesures", "temperature_moyenne", "temp_max", "temp_min", "vent_moyen_kmh", "humidite_moyenne", "pression_moyenne"]
+    open_too = sq.latest_updates(spark, updates, WINDOW_KEYS).select(*WINDOW_KEYS, F.struct(*measures).alias("updated"))
+    emitted = spark.read.parquet(closed).select(*WINDOW_KEYS, F.struct(*measures).alias("emitted"))
+    both = open_too.join(emitted, WINDOW_KEYS, "full")
+    agree = F.col("emitted").isNull() | F.col("emitted").eqNullSafe(F.col("updated"))
+    return both.select(*WINDOW_KEYS, "updated.nb_mesures", "updated.temperature_moyenne",
+                       F.col("emitted").isNotNull().alias("closed"), agree.alias("agree"))
+
+
+def stream_lateness(spark, sf_dir):
+    """Processing time kept in the output: the distribution of each batch's
+    lateness. It depends on the clock; what must hold on any day is returned:
+    one processing time for a batch, later for each batch, and a lateness that
+    spans the batch's event times."""
+    where = _land(spark, _event_records(spark, sf_dir))
+    path = scratch_path(spark, "lateness")
+    stream = sw.enrich(read_record_csv_stream(spark, where))
+    sq.run_to_completion(sq.start_lateness_table(stream, path, f"{path}-ckpt", available_now=True))
+    found = spark.read.parquet(path)
+    spans = F.col("greatest_us") - F.col("least_us") == F.unix_micros("last_event") - F.unix_micros("first_event")
+    ordered = (F.col("least_us") <= F.col("shares_us")[0]) & (F.col("shares_us")[2] <= F.col("greatest_us"))
+    return found.agg(
+        F.sum("n_rows").alias("n_rows"),
+        F.sum("no_event_time").alias("no_event_time"),
+        (F.count(F.lit(1)) >= STREAM_FILES).alias("several_batches"),
+        F.bool_and("one_clock").alias("one_clock_per_batch"),
+        (F.count_distinct("processing_time") == F.count(F.lit(1))).alias("clock_of_each_batch"),
+        F.bool_and(spans & ordered).alias("spans_the_events"),
+    )
 
 
 def stream_unified(spark, sf_dir):
@@ -328,7 +407,7 @@ def stream_update(spark, sf_dir):
     ckpt = scratch_path(spark, "stream-update-ckpt")
     flat = sw.flatten_window(_event_windows(spark, sf_dir))
     sq.run_to_completion(sq.start_update_table(flat, path, ckpt, available_now=True))
-    return sq.latest_updates(spark, path, ["window_start", "window_end", "city", "country"])
+    return sq.latest_updates(spark, path, WINDOW_KEYS)
 
 
 def stream_latest_per_key(spark, sf_dir):
@@ -564,6 +643,10 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_null_time": stream_null_time,
     "stream_restart": stream_restart,
     "stream_update_batches": stream_update_batches,
+    "stream_late_account": stream_late_account,
+    "stream_trigger": stream_trigger,
+    "stream_two_queries": stream_two_queries,
+    "stream_lateness": stream_lateness,
     "stream_unified": stream_unified,
     "stream_update": stream_update,
     "stream_latest_per_key": stream_latest_per_key,

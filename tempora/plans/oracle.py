@@ -192,10 +192,10 @@ def _payload(fields: str, src: str, source: str, where: str = "") -> str:
 YEAR_MONTHS = f"""SELECT CAST(year(o_orderdate) * 100 + month(o_orderdate) AS INTEGER) AS year,
        {xmean('o_totalprice')} AS avg_temperature, count(*) AS num_records FROM orders GROUP BY 1"""
 
-# Events as the multi-batch streams see them; the period is the eighth of the time range.
+# Events as the multi-batch streams see them; late ones lie in the first quarter of the time range.
 EVENT_RANGE = "(SELECT min(epoch(date_trunc('second', ts))) AS lo, max(epoch(date_trunc('second', ts))) AS hi FROM events)"
-NOT_LATE = f"""(SELECT e.* FROM events e, {EVENT_RANGE} r
-  WHERE NOT (event_id % 10 = 0 AND floor((epoch(date_trunc('second', ts)) - lo) * 8 / greatest(1, hi - lo + 1)) < 2))"""
+IS_LATE = "(event_id % 10 = 0 AND (epoch(date_trunc('second', ts)) - lo) * 4 / greatest(1, hi - lo + 1) < 1)"
+NOT_LATE = f"(SELECT e.* FROM events e, {EVENT_RANGE} r WHERE NOT {IS_LATE})"
 WITH_TIME = "(SELECT * FROM events WHERE event_id % 9 <> 0)"
 RECORDS_NOT_LATE = RECORDS.replace("FROM events", f"FROM {NOT_LATE}", 1)
 RECORDS_WITH_TIME = RECORDS.replace("FROM events", f"FROM {WITH_TIME}")
@@ -311,6 +311,13 @@ FROM r""",
     "stream_null_time": f"WITH {RECORDS_WITH_TIME} SELECT * FROM closed",
     "stream_restart": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_update_batches": f"WITH {RECORDS} SELECT * FROM win",
+    "stream_late_account": f"""SELECT (SELECT count(*) FROM events) AS n_read, count(*) AS groups_dropped, true AS complete
+FROM (SELECT DISTINCT date_trunc('minute', ts), event_type FROM events e, {EVENT_RANGE} r WHERE {IS_LATE})""",
+    "stream_trigger": f"WITH {RECORDS} SELECT * FROM closed",
+    "stream_two_queries": f"""WITH {RECORDS} SELECT window_start, window_end, city, country, nb_mesures, temperature_moyenne,
+  window_end <= (SELECT max(ts) FROM events) - INTERVAL 2 MINUTE AS closed, true AS agree FROM win""",
+    "stream_lateness": """SELECT count(*) AS n_rows, count(*) FILTER (ts IS NULL) AS no_event_time, true AS several_batches,
+  true AS one_clock_per_batch, true AS clock_of_each_batch, true AS spans_the_events FROM events""",
     "stream_unified": STREAM_UNIFIED,
     "stream_update": f"WITH {RECORDS} SELECT * FROM win",
     "unified": f"WITH {UNIFIED} SELECT * FROM u",

@@ -10,7 +10,8 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from tempora.streaming.windows import TRIGGER
+from tempora.streaming import accounting
+from tempora.streaming.windows import TRIGGER, lateness, lateness_by
 
 
 ROCKSDB_PROVIDER = "org.apache.spark.sql.execution.streaming.state.RocksDBStateStoreProvider"
@@ -23,10 +24,14 @@ def use_rocksdb_state(spark: SparkSession) -> None:
     spark.conf.set("spark.sql.streaming.stateStore.providerClass", ROCKSDB_PROVIDER)
 
 
-def _trigger(writer, processing_time: str | None, available_now: bool):
+def _start(spark: SparkSession, writer, processing_time: str | None, available_now: bool, checkpoint: str | None) -> StreamingQuery:
+    """Start with the trigger, under the session's ledger; with a checkpoint the account is kept beside it."""
+    accounting.ledger(spark)  # sees the queries that start after it
     if available_now:
-        return writer.trigger(availableNow=True)
-    return writer.trigger(processingTime=processing_time or TRIGGER)
+        query = writer.trigger(availableNow=True).start()
+    else:
+        query = writer.trigger(processingTime=processing_time or TRIGGER).start()
+    return accounting.follow(spark, query, checkpoint) if checkpoint else query
 
 
 def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
@@ -47,7 +52,7 @@ def start_parquet_append(df: DataFrame, path: str, checkpoint: str, processing_t
         writer = writer.partitionBy(*partition_by)
     if name:
         writer = writer.queryName(name)
-    return _trigger(writer, processing_time, available_now).start()
+    return _start(df.sparkSession, writer, processing_time, available_now, checkpoint)
 
 
 def start_console_update(df: DataFrame, processing_time: str | None = TRIGGER, available_now: bool = False,
@@ -56,7 +61,7 @@ def start_console_update(df: DataFrame, processing_time: str | None = TRIGGER, a
     writer = df.writeStream.outputMode("update").format("console").option("truncate", "false")
     if checkpoint:
         writer = writer.option("checkpointLocation", checkpoint)
-    return _trigger(writer, processing_time, available_now).start()
+    return _start(df.sparkSession, writer, processing_time, available_now, checkpoint)
 
 
 def start_update_table(df: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
@@ -73,7 +78,20 @@ def start_update_table(df: DataFrame, path: str, checkpoint: str, processing_tim
         batch.withColumn("_batch_id", F.lit(batch_id)).write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
 
     writer = df.writeStream.outputMode("update").option("checkpointLocation", checkpoint).foreachBatch(write_batch)
-    return _trigger(writer, processing_time, available_now).start()
+    return _start(df.sparkSession, writer, processing_time, available_now, checkpoint)
+
+
+def start_lateness_table(enriched: DataFrame, path: str, checkpoint: str, processing_time: str | None = TRIGGER,
+                         available_now: bool = False) -> StreamingQuery:
+    """The distribution of the lateness of each micro-batch, a row each, in a
+    folder of its own (a replayed batch overwrites it)."""
+
+    def write_batch(batch: DataFrame, batch_id: int) -> None:
+        found = lateness_by(lateness(batch)).withColumn("batch", F.lit(batch_id))
+        found.write.mode("overwrite").parquet(f"{path}/batch_id={batch_id}")
+
+    writer = enriched.writeStream.option("checkpointLocation", checkpoint).foreachBatch(write_batch)
+    return _start(enriched.sparkSession, writer, processing_time, available_now, checkpoint)
 
 
 def latest_updates(spark: SparkSession, path: str, keys: list[str]) -> DataFrame:
@@ -102,27 +120,46 @@ class LateRows(RuntimeError):
     """A stream dropped rows behind its watermark although none were expected."""
 
 
-def late_rows(query: StreamingQuery) -> int:
-    """Rows dropped behind the watermark, as far back as the query's progress reaches."""
-    states = (s for p in query.recentProgress for s in p["stateOperators"])
-    return sum(s.get("numRowsDroppedByWatermark", 0) for s in states)
+def check_late(spark: SparkSession, query: StreamingQuery, allow_late: bool = False) -> None:
+    """Wait for the account of an ended query. Raise if this run of it has
+    dropped rows that were not expected, or if a batch was never reported, so
+    that nobody can tell."""
+    run, _ = accounting.settled(spark, query)
+    if allow_late:
+        return
+    if run.dropped:
+        raise LateRows(f"{run.dropped} rows or groups came behind the watermark and were dropped")
+    if not run.complete:
+        raise LateRows(f"{run.missing} batches were not reported: what they dropped is not known")
 
 
 def run_to_completion(query: StreamingQuery, timeout: float | None = None, allow_late: bool = False) -> StreamingQuery:
     """Block until an ``availableNow`` query has drained its input. Raises if it
-    has dropped late rows, unless they are expected."""
+    has dropped late rows in any of its batches, unless they are expected."""
     query.awaitTermination(timeout)
     if query.exception() is not None:
         raise query.exception()
-    if not allow_late and (n := late_rows(query)):
-        raise LateRows(f"{n} rows or groups came behind the watermark and were dropped")
+    if not query.isActive:
+        check_late(SparkSession.active(), query, allow_late)
     return query
 
 
-def await_all(queries: list[StreamingQuery], poll: float = 0.5) -> None:
+def run_batches(query: StreamingQuery, n: int, timeout: float | None = None) -> accounting.Account:
+    """Let a query with a processing-time trigger run until it has ended ``n``
+    batches, then stop it. Returns the run's account."""
+    spark = SparkSession.active()
+    try:
+        accounting.await_batches(spark, query, n, timeout)
+    finally:
+        query.stop()
+    return accounting.settled(spark, query)[0]
+
+
+def await_all(queries: list[StreamingQuery], poll: float = 0.5, allow_late: bool = True) -> None:
     """Wait until all of ``queries`` have ended. If one fails, or the wait is
     interrupted, the others are stopped and the failure is raised; one that has
-    drained its input leaves the others running."""
+    drained its input leaves the others running. With ``allow_late=False``
+    dropped rows are a failure too, once all have ended."""
     try:
         while active := [q for q in queries if q.isActive]:
             if any(q.exception() is not None for q in queries if not q.isActive):
@@ -133,6 +170,8 @@ def await_all(queries: list[StreamingQuery], poll: float = 0.5) -> None:
     for q in queries:
         if q.exception() is not None:
             raise q.exception()
+    for q in queries:
+        check_late(SparkSession.active(), q, allow_late)
 
 
 def stop_all(queries: list[StreamingQuery]) -> None:

@@ -39,6 +39,35 @@ def with_quality_metrics(enriched: DataFrame, name: str = "record_quality") -> D
     )
 
 
+def lateness(enriched: DataFrame) -> DataFrame:
+    """The enriched rows with ``lateness_us``, how long after its event time a row
+    was processed (null without an event time). ``processing_time`` is one
+    instant for all rows of a micro-batch."""
+    return enriched.withColumn("lateness_us", F.unix_micros("processing_time") - F.unix_micros("event_time"))
+
+
+#: Shares of a batch's rows whose lateness is kept.
+LATENESS_SHARES = (0.5, 0.9, 0.99)
+
+
+def lateness_by(late: DataFrame, *keys: str) -> DataFrame:
+    """Distribution of the lateness: rows, rows without an event time, the number
+    of processing times and the latest, least, greatest and (approximate) shares
+    of the lateness, and the range of event times. Partial aggregates only."""
+    shares = F.percentile_approx("lateness_us", list(LATENESS_SHARES), 10_000)
+    return late.groupBy(*keys).agg(
+        F.count(F.lit(1)).alias("n_rows"),
+        F.count_if(F.col("event_time").isNull()).alias("no_event_time"),
+        (F.min("processing_time") == F.max("processing_time")).alias("one_clock"),
+        F.max("processing_time").alias("processing_time"),
+        F.min("lateness_us").alias("least_us"),
+        F.max("lateness_us").alias("greatest_us"),
+        shares.alias("shares_us"),
+        F.min("event_time").alias("first_event"),
+        F.max("event_time").alias("last_event"),
+    )
+
+
 def windowed_measures(enriched: DataFrame, window: str = WINDOW, watermark: str | None = WATERMARK,
                       keys=KEYS, exact: bool = False) -> DataFrame:
     """Per (window, keys): rows, mean temperature (2 dp), max, min and the
