@@ -80,19 +80,28 @@ def clean_history(raw: DataFrame, city: str = RAW_CITY, country: str = RAW_COUNT
 
 def observed_clean(raw: DataFrame, name: str = "clean", city: str = RAW_CITY, country: str = RAW_COUNTRY,
                    latitude: str = RAW_LATITUDE, longitude: str = RAW_LONGITUDE,
-                   **parse_args) -> tuple[DataFrame, Observation]:
+                   with_nulls: bool = False, **parse_args) -> tuple[DataFrame, Observation]:
     """Clean table plus an ``Observation`` filled by whichever action runs it.
 
     ``obs.get`` holds ``rows_before`` and ``rows_after`` once the clean table has
-    been written (or otherwise fully consumed); no separate scan is needed."""
+    been written (or otherwise fully consumed); no separate scan is needed.
+    ``with_nulls`` also counts the nulls of every raw column (``observed_nulls``)."""
     obs = Observation(name)
     valid = is_valid(city, country)
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(raw.columns)] if with_nulls else []
     observed = parse_history(raw, **parse_args).observe(
-        obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after")
+        obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after"), *nulls
     )
     return to_clean_schema(observed.filter(valid), city, country, latitude, longitude), obs
 
 
+def observed_nulls(raw: DataFrame, obs: Observation) -> DataFrame:
+    """The null profile of ``raw`` from an observation made ``with_nulls``: one row, no scan."""
+    counts = tuple(obs.get[f"nulls_{i}"] for i in range(len(raw.columns)))
+    schema = ", ".join(f"`{c}` long" for c in raw.columns)
+    return raw.sparkSession.createDataFrame([counts], schema)
+
+
 def half_up_percent(part: str, whole: str) -> Column:
     """``round(100 * part / whole, 2)`` HALF_UP in exact integer arithmetic; null if whole is 0."""
     hundredths = F.expr(f"(2 * {part} * 10000 + {whole}) div (2 * {whole})")
@@ -124,6 +133,7 @@ __all__ = [
     "is_valid",
     "null_profile",
     "observed_clean",
+    "observed_nulls",
     "parse_history",
     "table_shape",
     "to_clean_schema",

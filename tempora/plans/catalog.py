@@ -13,11 +13,11 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.operators import analysis, clean, series, unified, vendors
+from tempora.operators import analysis, clean, rollup, series, unified, vendors
 from tempora.operators.partitioning import spread
 from tempora.plans import jobs, tables
 from tempora.session import scratch_path
-from tempora.sinks import files, landing
+from tempora.sinks import files, landing, versions
 from tempora.sinks.report import run_report as build_report
 from tempora.sources.stream import decode_json, read_parquet_stream, read_record_csv_stream
 from tempora.sources.unified import BATCH, STREAMING, read_unified, root_of
@@ -211,6 +211,48 @@ def notebook_report(spark, sf_dir):
     return spark.read.json(f"{out}/{jobs.OUTPUTS['report']}").select(*REPORT_FIELDS)
 
 
+def preaggregate(spark, sf_dir):
+    """The pre-aggregate by city, country, year and month: counts, means and extremes of each."""
+    pre = rollup.preaggregate(_clean_lineitem(spark, sf_dir))
+    return pre.select(*rollup.KEYS, F.col("n_rows").alias("num_records"), rollup.mean_of("temperature", exact=True).alias("avg_temperature"),
+                      rollup.mean_of("uncertainty", exact=True).alias("avg_uncertainty"), "temperature_min", "temperature_max")
+
+
+def _incremental(spark, sf_dir) -> DataFrame:
+    """The pre-aggregate of orders, built year by year; every increment comes twice."""
+    root = scratch_path(spark, "aggregate")
+    c = _clean_orders(spark, sf_dir)
+    lo, hi = c.agg(F.min("year"), F.max("year")).first()
+    for year in range(lo, hi + 1) if lo is not None else []:
+        for _ in range(2):
+            rollup.apply_increment(spark, root, rollup.preaggregate(c.where(F.col("year") == year), low=ORDER_LOW, high=ORDER_HIGH), str(year))
+    return versions.read_current(spark, root) if lo is not None else rollup.preaggregate(c)
+
+
+def rollup_incremental(spark, sf_dir):
+    """Yearly means of every city, rolled up from increments."""
+    return rollup.yearly_means(_incremental(spark, sf_dir), exact=True, with_grain=True)
+
+
+def rollup_summaries(spark, sf_dir):
+    """All bounded summaries from one pre-aggregate, as (summary, key, mean, rows)."""
+    path = scratch_path(spark, "aggregate")
+    files.write_parquet(rollup.preaggregate(_clean_orders(spark, sf_dir), low=ORDER_LOW, high=ORDER_HIGH), path)
+    pre = spark.read.parquet(path)
+    parts = {
+        "country": rollup.means(pre, ["country"], exact=True), "year": rollup.mean_by_year(pre, exact=True),
+        "month": rollup.mean_by_month(pre, exact=True), "decade": rollup.mean_by_decade(pre, exact=True),
+        "period": rollup.mean_by_period(pre, ORDER_PERIODS, exact=True),
+    }
+    rows = [df.select(F.lit(name).alias("summary"), F.col(name).cast("string").alias("key"), "avg_temperature", "num_records") for name, df in parts.items()]
+    stats = rollup.global_stats(pre, exact=True)
+    rows.append(stats.select(F.lit("extreme").alias("summary"), F.lit("all").alias("key"), F.col("global_mean_temperature").alias("avg_temperature"), F.col("extreme_observations").alias("num_records")))
+    out = rows[0]
+    for df in rows[1:]:
+        out = out.unionByName(df)
+    return out
+
+
 # ------------------------------------------------------------------ streaming
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
@@ -637,6 +679,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "run_report": run_report,
     "batch_job_csv": batch_job_csv,
     "notebook_report": notebook_report,
+    "preaggregate": preaggregate,
+    "rollup_incremental": rollup_incremental,
+    "rollup_summaries": rollup_summaries,
     "stream_windows": stream_windows,
     "stream_csv_windows": stream_csv_windows,
     "stream_late": stream_late,

@@ -305,6 +305,17 @@ SELECT rows_before_cleaning, rows_after_cleaning, rows_before_cleaning - rows_af
        global_mean_temperature, global_min_temperature, global_max_temperature, extreme_observations,
        CAST(7 AS BIGINT) AS datasets_saved
 FROM r""",
+    "preaggregate": f"""SELECT l_partkey AS city, l_returnflag AS country, CAST(year(l_shipdate) AS INTEGER) AS year, CAST(month(l_shipdate) AS INTEGER) AS month,
+  count(*) AS num_records, {xmean('l_extendedprice')} AS avg_temperature, {xmean('l_tax')} AS avg_uncertainty,
+  min(l_extendedprice) AS temperature_min, max(l_extendedprice) AS temperature_max FROM lineitem WHERE l_shipdate IS NOT NULL GROUP BY 1, 2, 3, 4""",
+    "rollup_incremental": YEARLY.replace("'batch' AS source", "'batch' AS source, count(*) AS n"),
+    "rollup_summaries": f"""WITH {ORDERS_CLEAN},
+keyed AS (SELECT temperature, unnest([{{'summary': 'country', 'key': country}}, {{'summary': 'year', 'key': CAST(year AS VARCHAR)}},
+    {{'summary': 'month', 'key': CAST(month AS VARCHAR)}}, {{'summary': 'decade', 'key': CAST(year // 10 * 10 AS VARCHAR)}},
+    {{'summary': 'period', 'key': CASE WHEN year >= 1996 AND year < 1998 THEN '1996-1997' WHEN year >= 1998 AND year < 2000 THEN '1998-1999' WHEN year >= 2000 THEN '2000+' END}}
+  ]) AS k FROM oc)
+SELECT k.summary AS summary, k.key AS key, {xmean('temperature')} AS avg_temperature, count(*) AS num_records FROM keyed WHERE k.key IS NOT NULL GROUP BY 1, 2
+UNION ALL SELECT 'extreme', 'all', {xmean('temperature')}, count(*) FILTER (temperature < 5000 OR temperature > 495000) FROM oc""",
     "stream_windows": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_csv_windows": f"WITH {RECORDS} SELECT * FROM closed",
     "stream_late": f"WITH {RECORDS_NOT_LATE} SELECT * FROM closed",
