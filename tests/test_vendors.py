@@ -55,6 +55,29 @@ def test_router_and_rejects(spark):
     assert vendors.rejects(df).count() == 2
 
 
+def test_both_sides_of_the_route(spark):
+    """Every row is on one side, whatever its payload."""
+    payloads = ['{"main": {"temp": 7.0}} ', ' \n{"main": {"temp": "8.5"}}', '{"main": {"temp": true}}', '{"main": {"temp": "x"}}', '{"main": 3}', "{}",
+                '[{"main": {"temp": 1}}]', '{"main": {"temp": 1}', "garbage", "", None, '"{}"', "null", '{"main": {}, "main": {}}', "{'main': {}}"]
+    rows = [("2024-01-01T10:00:00", "P", "F", None, None, v, p) for p in payloads for v in ("main_wind", None, "mystery")]
+    df = spark.createDataFrame(rows, CTX)
+    good = vendors.normalise(df, keep=["payload"]).collect()
+    assert [r.payload for r in good] == payloads[:6] and [r.temperature_celsius for r in good] == [7.0, 8.5, 1.0, None, None, None]
+    bad = vendors.rejects(df)
+    assert bad.columns == df.columns and bad.count() == len(rows) - len(good)
+    assert sorted((r.payload for r in bad.where("vendor = 'main_wind'").collect()), key=str) == sorted(payloads[6:], key=str)
+
+
+def test_one_parse(spark):
+    """Neither side parses a payload twice, or builds it twice."""
+    from pyspark.sql import functions as F
+
+    df = frame(spark, "point", ["{}"] * 3).withColumn("payload", F.to_json(F.struct(F.col("city").alias("temp-surface"))))
+    for side in (vendors.normalise(df), vendors.rejects(df), vendors.normalise_point(df)):
+        plan = side._jdf.queryExecution().optimizedPlan().toString()
+        assert plan.count("parseJson(") == 1 and plan.count("StructsToJsonEvaluator(") == 1, plan
+
+
 def test_normalise_on_a_stream(spark, tmp_path):
     from pyspark.sql import functions as F
 
