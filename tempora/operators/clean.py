@@ -7,6 +7,7 @@ the plan that is written anyway, instead of extra ``count()`` scans.
 
 from __future__ import annotations
 
+from py4j.protocol import Py4JJavaError
 from pyspark.sql import Column, DataFrame, Observation
 from pyspark.sql import functions as F
 
@@ -88,16 +89,29 @@ def observed_clean(raw: DataFrame, name: str = "clean", city: str = RAW_CITY, co
     ``with_nulls`` also counts the nulls of every raw column (``observed_nulls``)."""
     obs = Observation(name)
     valid = is_valid(city, country)
-    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(raw.columns)] if with_nulls else []
-    observed = parse_history(raw, **parse_args).observe(
-        obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after"), *nulls
-    )
+    observed = parse_history(raw, **parse_args).observe(obs, *row_metrics(raw.columns if with_nulls else [], city, country))
     return to_clean_schema(observed.filter(valid), city, country, latitude, longitude), obs
 
 
-def observed_nulls(raw: DataFrame, obs: Observation) -> DataFrame:
-    """The null profile of ``raw`` from an observation made ``with_nulls``: one row, no scan."""
-    counts = tuple(obs.get[f"nulls_{i}"] for i in range(len(raw.columns)))
+def row_metrics(columns=(), city: str = RAW_CITY, country: str = RAW_COUNTRY) -> list[Column]:
+    """Rows before and after cleaning, and the nulls of each of ``columns``, of a parsed table."""
+    nulls = [F.count_if(F.col(f"`{c}`").isNull()).alias(f"nulls_{i}") for i, c in enumerate(columns)]
+    return [F.count(F.lit(1)).alias("rows_before"), F.count_if(is_valid(city, country)).alias("rows_after"), *nulls]
+
+
+def observed_counts(obs: Observation, parsed: DataFrame, metrics: list[Column]) -> dict:
+    """The observed metrics. Where no row was left, Spark may have cut the observed
+    part out of the plan, and with it the metrics: they are counted then."""
+    try:
+        found = dict(obs.get)
+    except Py4JJavaError:
+        found = {}
+    return found if "rows_before" in found else parsed.agg(*metrics).first().asDict()
+
+
+def observed_nulls(raw: DataFrame, counted: dict) -> DataFrame:
+    """The null profile of ``raw`` from metrics that hold it: one row, no scan."""
+    counts = tuple(counted[f"nulls_{i}"] for i in range(len(raw.columns)))
     schema = ", ".join(f"`{c}` long" for c in raw.columns)
     return raw.sparkSession.createDataFrame([counts], schema)
 
@@ -133,8 +147,10 @@ __all__ = [
     "is_valid",
     "null_profile",
     "observed_clean",
+    "observed_counts",
     "observed_nulls",
     "parse_history",
+    "row_metrics",
     "table_shape",
     "to_clean_schema",
 ]

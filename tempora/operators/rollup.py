@@ -26,7 +26,8 @@ VALUES = ("temperature", "uncertainty")
 _ADDED = ("n", "fit", "hi", "lo", "sum")
 
 
-def _state(value: str, scale: int) -> list[Column]:
+def value_state(value: str, scale: int = 2) -> list[Column]:
+    """Aggregates of a value that can be added up, or compared, later (``merge``)."""
     c = F.col(value)
     fits = fits_units(c, scale)
     u = units(F.when(fits, c), scale)
@@ -44,7 +45,7 @@ def _state(value: str, scale: int) -> list[Column]:
 def preaggregate(clean: DataFrame, keys=KEYS, values=VALUES, low: float = EXTREME_LOW, high: float = EXTREME_HIGH, scale: int = 2) -> DataFrame:
     """One row per ``keys``: ``n_rows``, ``n_extreme`` (outside [low, high] in the
     first value) and the state of each value. One pass, combined map-side."""
-    states = [c for v in values for c in _state(v, scale)]
+    states = [c for v in values for c in value_state(v, scale)]
     return clean.groupBy(*keys).agg(F.count(F.lit(1)).alias("n_rows"), F.count_if(is_extreme(values[0], low, high)).alias("n_extreme"), *states)
 
 
@@ -52,7 +53,7 @@ def slices(clean: DataFrame, sets: dict[str, tuple[str, ...]], values=VALUES, lo
     """Several pre-aggregates, coarser than ``KEYS``, in one pass: a row per key of
     each set, told apart by ``slice`` (the set's name; keys of other sets are null)."""
     keys = list(dict.fromkeys(k for own in sets.values() for k in own))
-    states = [c for v in values for c in _state(v, scale)]
+    states = [c for v in values for c in value_state(v, scale)]
     counts = [F.count(F.lit(1)).alias("n_rows"), F.count_if(is_extreme(values[0], low, high)).alias("n_extreme")]
     found = clean.groupingSets([[F.col(k) for k in own] for own in sets.values()], *keys).agg(F.grouping_id(*keys).alias("_id"), *counts, *states)
     name = F.create_map(*[F.lit(x) for n, own in sets.items() for x in (sum(1 << (len(keys) - 1 - i) for i, k in enumerate(keys) if k not in own), n)])

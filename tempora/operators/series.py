@@ -7,6 +7,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from tempora.functions.means import mean
+from tempora.operators import rollup
 from tempora.session import scratch_path
 
 
@@ -31,6 +32,43 @@ def stats_per_key(df: DataFrame, keys: list[str], value: str, exact: bool = Fals
     )
 
 
+SPAN = "1 day"  # of event time that a streaming state row covers
+SPAN_WATERMARK = "1 hour"
+
+
+def latest_in_spans(df: DataFrame, keys: list[str], ts: str, span: str = SPAN, watermark: str | None = SPAN_WATERMARK) -> DataFrame:
+    """``latest_per_key`` within each span of event time. On a stream the state
+    of a span is dropped once the watermark has passed it, so the state holds
+    the keys of the open spans and not all keys ever seen; ``fold_latest`` over
+    the update table gives the latest of all spans. ``ts`` must be a timestamp."""
+    src = df.withWatermark(ts, watermark) if watermark else df
+    others = [c for c in df.columns if c not in keys and c != ts]
+    latest = F.max(F.struct(F.col(ts), *[F.col(c) for c in others])).alias("_latest")
+    found = src.groupBy(F.window(ts, span), *keys).agg(latest)
+    return found.select(F.col("window.start").alias("span"), *keys, *[F.col(f"_latest.{c}") for c in [ts, *others]])
+
+
+def fold_latest(spans: DataFrame, keys: list[str], ts: str) -> DataFrame:
+    """The latest row per key of ``latest_in_spans``."""
+    return latest_per_key(spans.drop("span"), keys, ts)
+
+
+def stats_in_spans(df: DataFrame, keys: list[str], ts: str, value: str, span: str = SPAN, watermark: str | None = SPAN_WATERMARK) -> DataFrame:
+    """The mergeable state of ``stats_per_key`` within each span of event time;
+    expires as that of ``latest_in_spans``."""
+    src = df.withWatermark(ts, watermark) if watermark else df
+    found = src.groupBy(F.window(ts, span), *keys).agg(F.count(F.lit(1)).alias("n_rows"), *rollup.value_state(value))
+    return found.withColumn("span", F.col("window.start")).drop("window")
+
+
+def fold_stats(spans: DataFrame, keys: list[str], value: str, exact: bool = False) -> DataFrame:
+    """``stats_per_key`` from the states of all spans."""
+    return rollup.merge(spans, keys).select(
+        *keys, rollup.mean_of(value, exact).alias("mean_value"), F.col(f"{value}_max").alias("max_value"),
+        F.col(f"{value}_min").alias("min_value"), F.col("n_rows").alias("n"),
+    )
+
+
 _UNIT_SECONDS = {"second": 1, "minute": 60, "hour": 3600, "day": 86400, "week": 604800}
 
 
@@ -87,20 +125,21 @@ def rank_by_mean(df: DataFrame, keys: list[str], value: str, exact: bool = False
     a rank, nulls last).
 
     The rank of a mean is 1 + the number of keys with a greater mean. The
-    distinct means and their key counts are split into ranges and written in
-    order; a running count within each range is added to the counts of the
-    ranges before it (one row per range), and the ranks are joined back. No
-    task holds all keys or all means."""
+    keys are split into ranges of their means and written, which runs a job
+    while the plan is built; the input is read by that job alone. Over the
+    written table (one row per key) a running count of the distinct means within
+    each range is added to the counts of the ranges before it (one row per
+    range), and the ranks are joined back. No task holds all keys or all means."""
     means = df.groupBy(*keys).agg(mean(value, decimals=decimals, exact=exact).alias("mean_value"))
-    levels = means.groupBy("mean_value").agg(F.count(F.lit(1)).alias("_n"))
-    spark, path = df.sparkSession, scratch_path(df.sparkSession, "levels")
-    ranges = levels.repartitionByRange(F.desc_nulls_last("mean_value")).withColumn("_range", F.spark_partition_id())
+    spark, path = df.sparkSession, scratch_path(df.sparkSession, "means")
+    ranges = means.repartitionByRange(F.desc_nulls_last("mean_value")).withColumn("_range", F.spark_partition_id())
     ranges.write.parquet(path)  # the split into ranges is fixed here
-    levels = spark.read.schema(ranges.schema).parquet(path)
+    means = spark.read.schema(ranges.schema).parquet(path)
+    levels = means.groupBy("_range", "mean_value").agg(F.count(F.lit(1)).alias("_n"))
     before = Window.orderBy("_range").rowsBetween(Window.unboundedPreceding, -1)
     start = levels.groupBy("_range").agg(F.sum("_n").alias("_in")).select("_range", F.coalesce(F.sum("_in").over(before), F.lit(0)).alias("_before"))
     higher = Window.partitionBy("_range").orderBy(F.desc_nulls_last("mean_value")).rowsBetween(Window.unboundedPreceding, -1)
     levels = levels.withColumn("_here", F.coalesce(F.sum("_n").over(higher), F.lit(0))).join(start, "_range")
     levels = levels.select(F.col("mean_value").alias("_level"), (F.col("_before") + F.col("_here") + 1).cast("int").alias("rank"))
-    joined = means.join(levels, means["mean_value"].eqNullSafe(levels["_level"]), "inner")
+    joined = means.drop("_range").join(levels, F.col("mean_value").eqNullSafe(F.col("_level")), "inner")
     return joined.select(*keys, "mean_value", "rank")

@@ -13,7 +13,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql import types as T
 
-from tempora.operators import analysis, clean, rollup, series, unified, vendors
+from tempora.operators import analysis, clean, ordering, rollup, series, sketches, unified, vendors
 from tempora.operators.partitioning import spread
 from tempora.plans import jobs, tables
 from tempora.session import scratch_path
@@ -197,6 +197,28 @@ def batch_job_csv(spark, sf_dir):
     return spark.read.parquet(root_of(base, BATCH))
 
 
+def batch_ordered(spark, sf_dir):
+    """The batch job's result in total order, with positions."""
+    base = scratch_path(spark, "batch-ordered")
+    jobs.batch_job(spark, _landed_orders_csv(spark, sf_dir), base, exact=True, ordered_path=f"{base}/ordered")
+    return ordering.read_ordered(spark, f"{base}/ordered")
+
+
+RERUN_YEAR = 1997
+
+
+def batch_rerun(spark, sf_dir):
+    """The batch job over all orders, then again over one year, whose orders with
+    an odd key are gone by then: that year is replaced, the others stay."""
+    base, whole, part = (scratch_path(spark, f"batch-rerun{x}") for x in ("", "-all", "-year"))
+    orders = tables.history_from_orders(spark, sf_dir).withColumn("dt", F.date_format("dt", "yyyy-MM-dd"))
+    files.write_history_csv(orders, whole)
+    files.write_history_csv(orders.where((F.col("Longitude").cast("long") % 2 == 0) & F.col("dt").startswith(str(RERUN_YEAR))), part)
+    jobs.batch_job(spark, whole, base, exact=True)
+    jobs.batch_job(spark, part, base, exact=True, rerun_years_only=True)
+    return spark.read.parquet(root_of(base, BATCH))
+
+
 REPORT_FIELDS = ["rows_before_cleaning", "rows_after_cleaning", "rows_removed", "columns", "removal_percentage",
                  "global_mean_temperature", "global_min_temperature", "global_max_temperature",
                  "extreme_observations", "datasets_saved"]
@@ -439,6 +461,46 @@ def stream_lateness(spark, sf_dir):
     )
 
 
+def stream_compacted(spark, sf_dir):
+    """A stream whose output is compacted halfway and goes on: its rows are read
+    through the compacted version and the files since."""
+    where, out, ckpt, small = (scratch_path(spark, f"compacted-{x}") for x in ("in", "out", "ckpt", "small"))
+    staged = _stage(spark, _event_records(spark, sf_dir))
+    half = len(staged) // 2
+    for part in (staged[:half], staged[half:]):
+        landing.publish(spark, part, where)
+        sq.run_to_completion(sq.start_parquet_append(_landed_windows(spark, where), out, ckpt, available_now=True))
+        if part and versions.current(spark, small) is None:
+            versions.compact_stream(spark, out, small)
+    return versions.read_compacted(spark, out, small)
+
+
+def _expiring(spark, sf_dir, of, name: str) -> DataFrame:
+    """The update table of ``of`` over events landed in order, a file per batch."""
+    events = _events(spark, sf_dir).withColumn("ts", F.col("ts").cast("timestamp"))
+    where, path = (scratch_path(spark, f"{name}-{x}") for x in ("in", "out"))
+    landing.publish(spark, landing.stage_in_order(events, f"{where}-staged", least=STREAM_FILES, by="ts", as_parquet=True), where)
+    stream = read_parquet_stream(spark, where, events.schema, max_files_per_trigger=1)
+    sq.run_to_completion(sq.start_update_table(of(stream), path, f"{path}-ckpt", available_now=True))
+    return spark.read.option("basePath", path).parquet(path)
+
+
+def stream_latest_expiring(spark, sf_dir):
+    """Latest event per user from a stream whose state expires, span by span."""
+    updates = _expiring(spark, sf_dir, lambda s: series.latest_in_spans(s, ["user_id"], "ts"), "latest-expiring")
+    latest = series.fold_latest(updates.drop("batch_id", "_batch_id"), ["user_id"], "ts")
+    return latest.withColumn("ts", F.col("ts").cast("timestamp_ntz"))
+
+
+def stream_stats_expiring(spark, sf_dir):
+    """Mean, max, min and count per event type from a stream whose state expires:
+    the last update of each span, added up."""
+    updates = _expiring(spark, sf_dir, lambda s: series.stats_in_spans(s, ["event_type"], "ts", "value"), "stats-expiring")
+    values = [c for c in updates.columns if c not in ("span", "event_type", "batch_id", "_batch_id")]
+    last = updates.groupBy("span", "event_type").agg(F.max_by(F.struct(*values), "_batch_id").alias("v")).select("span", "event_type", "v.*")
+    return series.fold_stats(last, ["event_type"], "value", exact=True)
+
+
 def stream_unified(spark, sf_dir):
     out = _run_append(spark, sw.to_unified(_event_windows(spark, sf_dir)), "stream-unified")
     return spark.read.parquet(out)
@@ -528,6 +590,28 @@ def distinct_counts(spark, sf_dir):
     return unified.distinct_counts(unified_table(spark, sf_dir))
 
 
+def distinct_sketches(spark, sf_dir):
+    """Distinct cities and countries, exact, and whether the estimates from sketches
+    kept per source and year (written, then merged over both roots, at once and
+    by way of the sources) are within four standard errors of them and agree."""
+    u, path = unified_table(spark, sf_dir), scratch_path(spark, "sketches")
+    files.write_parquet(sketches.distinct_sketches(u), path)
+    kept = spark.read.parquet(path)
+    by_source = sketches.merge_sketches(kept, ["source"])
+    exact = unified.distinct_counts(u).select(F.struct("nb_villes", "nb_pays").alias("exact"))
+    merged = sketches.estimates(kept).select(F.struct("nb_villes", "nb_pays").alias("merged"))
+    again = sketches.estimates(by_source).select(F.struct("nb_villes", "nb_pays").alias("again"))
+    one = [df.withColumn("_k", F.lit(1)) for df in (exact, merged, again)]  # a row each
+    both = one[0].join(one[1], "_k").join(one[2], "_k")
+    bound = 4 * sketches.relative_error()
+
+    def near(c: str):
+        return F.abs(F.col(f"merged.{c}") - F.col(f"exact.{c}")) <= F.greatest(F.lit(1.0), F.col(f"exact.{c}") * F.lit(bound))
+
+    return both.select("exact.nb_villes", "exact.nb_pays", near("nb_villes").alias("cities_near"), near("nb_pays").alias("countries_near"),
+                       (F.col("merged") == F.col("again")).alias("merges_agree"))
+
+
 def distinct_sources(spark, sf_dir):
     return unified.distinct_values(unified_table(spark, sf_dir), "source")
 
@@ -678,6 +762,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "yearly_mean": yearly_mean,
     "run_report": run_report,
     "batch_job_csv": batch_job_csv,
+    "batch_ordered": batch_ordered,
+    "batch_rerun": batch_rerun,
     "notebook_report": notebook_report,
     "preaggregate": preaggregate,
     "rollup_incremental": rollup_incremental,
@@ -692,6 +778,9 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "stream_trigger": stream_trigger,
     "stream_two_queries": stream_two_queries,
     "stream_lateness": stream_lateness,
+    "stream_compacted": stream_compacted,
+    "stream_latest_expiring": stream_latest_expiring,
+    "stream_stats_expiring": stream_stats_expiring,
     "stream_unified": stream_unified,
     "stream_update": stream_update,
     "stream_latest_per_key": stream_latest_per_key,
@@ -700,6 +789,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "source_stats": source_stats,
     "source_filter": source_filter,
     "distinct_counts": distinct_counts,
+    "distinct_sketches": distinct_sketches,
     "distinct_sources": distinct_sources,
     "recent_top5": recent_top5,
     "source_compare": source_compare,

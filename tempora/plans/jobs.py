@@ -13,7 +13,7 @@ from concurrent.futures import ThreadPoolExecutor
 from pyspark.sql import DataFrame, Observation, SparkSession
 from pyspark.sql import functions as F
 
-from tempora.operators import analysis, clean, rollup, unified
+from tempora.operators import analysis, clean, ordering, rollup, unified
 from tempora.sinks import files
 from tempora.sinks.report import write_report
 from tempora.sources.history import read_history_csv
@@ -23,18 +23,22 @@ from tempora.streaming import windows as sw
 
 
 def batch_job(spark: SparkSession, csv_path: str, base: str, exact: bool = False,
-              rerun_years_only: bool = False, with_grain: bool = False) -> dict:
+              rerun_years_only: bool = False, with_grain: bool = False, ordered_path: str | None = None) -> dict:
     """CSV → parse → mean per (City, Country, year) → the batch root.
 
     One scan of the input: explicit schema (no inference pass), and row counts
-    come from an observation on the written plan. Returns those counts."""
+    come from an observation on the written plan. Returns those counts.
+    ``ordered_path`` also writes the whole batch root in the total order
+    (Country, City, year), to be read with positions (``ordering.read_ordered``)."""
     obs = Observation("batch_job")
     parsed = clean.parse_history(read_history_csv(spark, csv_path))
-    valid = clean.is_valid("City", "Country")
-    observed = parsed.observe(obs, F.count(F.lit(1)).alias("rows_before"), F.count_if(valid).alias("rows_after"))
+    metrics = clean.row_metrics()
+    observed = parsed.observe(obs, *metrics)
     yearly = analysis.yearly_means(observed, exact=exact, with_grain=with_grain)
     files.write_yearly(yearly, root_of(base, BATCH), rerun_years_only)
-    counts = dict(obs.get)
+    if ordered_path:
+        ordering.write_ordered(spark.read.parquet(root_of(base, BATCH)), ordered_path, ["Country", "City", "year"])
+    counts = clean.observed_counts(obs, parsed, metrics)
     counts["rows_removed"] = counts["rows_before"] - counts["rows_after"]
     return counts
 
@@ -90,6 +94,7 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
     out = {k: f"{out_dir}/{v}" for k, v in OUTPUTS.items()}
     # Lineage is cut at written tables, and nothing the size of the input is cached.
     files.write_clean(clean_df, out["clean"])  # also fills the cleaning observation
+    counts = clean.observed_counts(obs, clean.parse_history(raw), clean.row_metrics(raw.columns))
     c = spark.read.parquet(out["clean"])
     t_transform = time.perf_counter()
 
@@ -113,10 +118,9 @@ def notebook_job(spark: SparkSession, csv_path: str, out_dir: str, exact: bool =
     run_concurrently([
         summaries,
         lambda: files.write_parquet(analysis.extremes(c, low, high), out["extremes"]),
-        lambda: files.write_single_json(clean.observed_nulls(raw, obs), out["nulls"]),
+        lambda: files.write_single_json(clean.observed_nulls(raw, counts), out["nulls"]),
     ])
     stats = rollup.global_stats(aggregate("calendar"), exact=exact)
-    counts = obs.get
     t_load = time.perf_counter()
     before, after = counts["rows_before"], counts["rows_after"]
     report = stats.select(

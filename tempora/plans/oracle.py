@@ -284,6 +284,13 @@ SELECT *, rows_before_cleaning AS rows_extracted, CAST(7 AS INTEGER) AS columns,
        rows_before_cleaning - rows_after_cleaning AS rows_removed,
        {pct('rows_before_cleaning - rows_after_cleaning', 'rows_before_cleaning')} AS removal_percentage
 FROM r""",
+    "batch_ordered": f"""WITH {ORDERS_FAULTY},
+means AS (SELECT CAST("City" AS VARCHAR) AS "City", "Country", CAST(year(date) AS INTEGER) AS year, {xmean('temperature')} AS temperature_moyenne
+  FROM orders_parsed WHERE temperature IS NOT NULL AND "City" IS NOT NULL AND "Country" IS NOT NULL AND date IS NOT NULL GROUP BY 1, 2, 3)
+SELECT *, 'batch' AS source, row_number() OVER (ORDER BY "Country", "City", year) AS position FROM means""",
+    "batch_rerun": f"""SELECT CAST(o_custkey AS VARCHAR) AS "City", o_orderpriority AS "Country", CAST(year(o_orderdate) AS INTEGER) AS year,
+  {xmean('o_totalprice')} AS temperature_moyenne, 'batch' AS source FROM orders
+WHERE year(o_orderdate) <> 1997 OR o_orderkey % 2 = 0 GROUP BY 1, 2, 3""",
     "batch_job_csv": f"""WITH {ORDERS_FAULTY}
 SELECT CAST("City" AS VARCHAR) AS "City", "Country", CAST(year(date) AS INTEGER) AS year,
        {xmean('temperature')} AS temperature_moyenne, 'batch' AS source
@@ -337,6 +344,8 @@ SELECT source, count(*) AS nb_lignes, min(year) AS annee_min, max(year) AS annee
     "source_filter": f"WITH {UNIFIED} SELECT * FROM u WHERE source = 'streaming'",
     "distinct_counts": f"""WITH {UNIFIED}
 SELECT count(DISTINCT "City") AS nb_villes, count(DISTINCT "Country") AS nb_pays FROM u""",
+    "distinct_sketches": f"""WITH {UNIFIED}
+SELECT count(DISTINCT "City") AS nb_villes, count(DISTINCT "Country") AS nb_pays, true AS cities_near, true AS countries_near, true AS merges_agree FROM u""",
     "distinct_sources": f"WITH {UNIFIED} SELECT DISTINCT source FROM u",
     "recent_top5": f"""WITH {UNIFIED}
 SELECT "City", "Country", {xmean('temperature_moyenne')} AS temp_moy FROM u WHERE year >= 2000
@@ -355,6 +364,10 @@ SELECT "City", "Country", {xavg('temperature_moyenne')} AS temp_moy FROM u WHERE
 GROUP BY "City", "Country" ORDER BY temp_moy DESC NULLS LAST, "City", "Country" LIMIT 5""",
     "stream_latest_per_key": LATEST_PER_USER,
     "latest_per_key": LATEST_PER_USER,
+    "stream_compacted": f"WITH {RECORDS} SELECT * FROM closed",
+    "stream_latest_expiring": LATEST_PER_USER,
+    "stream_stats_expiring": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
+       min(value) AS min_value, count(*) AS n FROM events GROUP BY event_type""",
     "stream_stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,
        min(value) AS min_value, count(*) AS n FROM events GROUP BY event_type""",
     "stats_per_key": f"""SELECT event_type, {xmean('value')} AS mean_value, max(value) AS max_value,

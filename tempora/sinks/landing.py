@@ -64,17 +64,23 @@ def file_number(value: Column, sorted_borders: list[int], salt: Column) -> Colum
     return F.when(value.isNull(), F.lit(0)).otherwise(first + F.pmod(salt, last - first + 1)).cast("int")
 
 
-def stage_in_order(records: DataFrame, staging: str, rows_per_file: int = ROWS_PER_FILE, least: int = 1, by: str = "timestamp") -> list[str]:
-    """Write ``records`` (the columns of ``RECORD``) as header CSV files that
-    follow one another in event time. Returns the staged folders in that order,
-    one for each file. Nothing is in a landing folder yet."""
+def stage_in_order(records: DataFrame, staging: str, rows_per_file: int = ROWS_PER_FILE, least: int = 1, by: str = "timestamp",
+                   as_parquet: bool = False) -> list[str]:
+    """Write ``records`` as files that follow one another in event time: header
+    CSV files with the columns of ``RECORD``, or Parquet files with all columns.
+    Returns the staged folders in that order, one for each file. Nothing is in
+    a landing folder yet."""
     spark = records.sparkSession
     when = parse_timestamp(by, records.schema[by].dataType)
     found = borders(records.select(when.alias("when")), F.col("when"), rows_per_file, least)
     salt = F.monotonically_increasing_id()  # the same for a task that runs again: it reads the same files
     number = file_number(F.unix_micros(when), found, salt)
-    rows = records.select(*[F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields], number.alias(_FILE))
-    rows.repartition(len(found) + 1, _FILE).write.partitionBy(_FILE).option("header", True).csv(staging)
+    columns = [F.col(f"`{c}`") for c in records.columns] if as_parquet else [F.col(f.name).cast(f.dataType).alias(f.name) for f in RECORD.fields]
+    writer = records.select(*columns, number.alias(_FILE)).repartition(len(found) + 1, _FILE).write.partitionBy(_FILE)
+    if as_parquet:
+        writer.parquet(staging)
+    else:
+        writer.option("header", True).csv(staging)
     fs, path = _file_system(spark, staging)
     folders = [s.getPath().getName() for s in fs.listStatus(path(staging)) if s.isDirectory()]
     return [f"{staging}/{name}" for name in sorted(folders, key=lambda x: int(x.partition("=")[2]))]
