@@ -104,11 +104,41 @@ def test_search_equals_sql_and_odd_vectors(spark):
     for block in (4096, 37):
         topk_search.CANDIDATES = block
         assert against(con, topk_search.ORACLE.format(embeddings="embeddings"), topk_search.top_k(df))
-    topk_search.CANDIDATES = 4096
+    topk_search.CANDIDATES = 16_384
     assert topk_search.top_k(df.limit(0)).count() == 0
 
 
-def test_bounds_exclude_only_what_is_worse():
+def test_bounds_exclude_most_pairs():
+    """On vectors without any structure, the hardest case for a bound: few exact scores are left."""
+    rows = duckdb.sql("SELECT vec_id, embedding FROM '/root/testdata/sf0.1/embeddings.parquet' ORDER BY vec_id").fetchall()
+    ids, x = np.array([r[0] for r in rows]), np.floor(256 * np.array([r[1] for r in rows])).astype(np.int64)
+    asked, seen = ids % 50 == 0, {}
+    topk_search.search(ids[asked], x[asked], ids, x, 5, seen)
+    assert seen["pairs"] == asked.sum() * (len(ids) - 1) and seen["exact"] < 0.02 * seen["pairs"]
+
+
+def test_bounds_hold_at_every_resolution():
+    random = np.random.default_rng(8)
+    for dim in (1, 2, 3, 7, 64, 65):
+        q, x = (random.integers(-900, 900, (40, dim)) for _ in range(2))
+        levels = topk_search._levels(dim)
+        far = 1.0 + 2 * 900
+        a, b = topk_search._Side(q, levels, far), topk_search._Side(x, levels, far)
+        high = [topk_search._highest(a, b, n, slice(0, 40), slice(0, 40)) for n in range(len(levels))]
+        assert all((h >= q @ x.T).all() for h in high)
+        if dim % 2 == 0:
+            assert np.abs(high[-1] - q @ x.T).max() < 1.5  # segments of two lose nothing
+
+
+def test_too_long_vectors_raise():
+    x = np.full((3, 4), 2_000_000_000)
+    with pytest.raises(OverflowError):
+        topk_search.search(np.arange(3), x * 1000, np.arange(3), x * 1000)
+
+
+def test_bounds_exclude_only_what_is_worse(monkeypatch):
+    monkeypatch.setattr(topk_search, "PIECE", 64)
+    monkeypatch.setattr(topk_search, "ROWS", 7)
     random = np.random.default_rng(4)
     for dim in (1, 5, 64):
         x = random.integers(-300, 300, (500, dim))
