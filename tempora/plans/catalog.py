@@ -34,7 +34,7 @@ ORDER_LOW = 5000.0
 ORDER_HIGH = 495000.0
 RECENT_SINCE = 2000
 EVOLUTION_WINDOW = "1 day"
-STREAM_FILES = 8  # files of a landing at least, one micro-batch each
+STREAM_FILES = 4  # files of a landing at least (more where its size needs them), one micro-batch each
 
 
 # ---------------------------------------------------------------- historical
@@ -278,20 +278,13 @@ def rollup_summaries(spark, sf_dir):
 # ------------------------------------------------------------------ streaming
 
 def _events_stream(spark: SparkSession, sf_dir: str) -> DataFrame:
-    """``events`` as a file stream. A single Parquet file is streamed from its
-    folder through a name filter (a file stream needs a folder); a folder of
-    part files is streamed as it is.
-
-    The files of a folder are in no order of event time, so they are one
-    micro-batch, whatever their number and size: split, rows of later files
-    would come behind the watermark that earlier ones have set."""
-    batch = tables.table(spark, sf_dir, "events")
-    files = batch.inputFiles()
-    if len(files) == 1 and files[0].rstrip("/").endswith("/events.parquet"):
-        directory, glob = sf_dir, "events.parquet"
-    else:
-        directory, glob = f"{sf_dir}/events.parquet", None
-    return read_parquet_stream(spark, directory, batch.schema, glob=glob)
+    """``events`` landed as Parquet files in event-time order, as many as its size
+    needs, and read as a file stream, a few files per micro-batch. (Streamed as
+    they are, files in no order would have to be one micro-batch.)"""
+    events, where = _events(spark, sf_dir), scratch_path(spark, "events")
+    staged = landing.stage_in_order(events, f"{where}-staged", by="ts", as_parquet=True)
+    landing.publish(spark, staged, where)
+    return read_parquet_stream(spark, where, events.schema, max_files_per_trigger=STREAM_FILES)
 
 
 def _event_windows(spark, sf_dir) -> DataFrame:
