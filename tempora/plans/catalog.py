@@ -591,18 +591,22 @@ def distinct_sketches(spark, sf_dir):
     files.write_parquet(sketches.distinct_sketches(u), path)
     kept = spark.read.parquet(path)
     by_source = sketches.merge_sketches(kept, ["source"])
-    exact = unified.distinct_counts(u).select(F.struct("nb_villes", "nb_pays").alias("exact"))
-    merged = sketches.estimates(kept).select(F.struct("nb_villes", "nb_pays").alias("merged"))
-    again = sketches.estimates(by_source).select(F.struct("nb_villes", "nb_pays").alias("again"))
-    one = [df.withColumn("_k", F.lit(1)) for df in (exact, merged, again)]  # a row each
-    both = one[0].join(one[1], "_k").join(one[2], "_k")
-    bound = 4 * sketches.relative_error()
+    parts = {"exact": unified.distinct_counts(u), "merged": sketches.estimates(kept), "again": sketches.estimates(by_source)}
+    rows = None
+    for name, df in parts.items():  # a row each
+        tagged = df.select(F.lit(name).alias("of"), "nb_villes", "nb_pays")
+        rows = tagged if rows is None else rows.unionByName(tagged)
+
+    def count(of: str, c: str):
+        return F.max(F.when(F.col("of") == of, F.col(c)))
 
     def near(c: str):
-        return F.abs(F.col(f"merged.{c}") - F.col(f"exact.{c}")) <= F.greatest(F.lit(1.0), F.col(f"exact.{c}") * F.lit(bound))
+        bound = F.greatest(F.lit(1.0), count("exact", c) * F.lit(4 * sketches.relative_error()))
+        return F.abs(count("merged", c) - count("exact", c)) <= bound
 
-    return both.select("exact.nb_villes", "exact.nb_pays", near("nb_villes").alias("cities_near"), near("nb_pays").alias("countries_near"),
-                       (F.col("merged") == F.col("again")).alias("merges_agree"))
+    agree = (count("merged", "nb_villes") == count("again", "nb_villes")) & (count("merged", "nb_pays") == count("again", "nb_pays"))
+    return rows.agg(count("exact", "nb_villes").alias("nb_villes"), count("exact", "nb_pays").alias("nb_pays"),
+                    near("nb_villes").alias("cities_near"), near("nb_pays").alias("countries_near"), agree.alias("merges_agree"))
 
 
 def distinct_sources(spark, sf_dir):
