@@ -3,7 +3,7 @@
     python -m tempora batch     --input CSV_PATH --base ROOT [--exact] [--rerun-years-only] [--with-grain]
     python -m tempora notebook  --input CSV_PATH --out DIR [--exact]
     python -m tempora consumer  --base ROOT --checkpoints DIR (--input LANDING_DIR | --kafka SERVERS --topic T)
-                                [--no-console] [--no-parquet] [--available-now] [--state-partitions N]
+                                [--no-console] [--no-parquet] [--available-now] [--fail-late] [--state-partitions N]
                                 [--with-grain]
     python -m tempora read      --base ROOT [--source batch|streaming] [--since YEAR] [--with-grain]
 
@@ -55,6 +55,7 @@ def main(argv: list[str] | None = None) -> int:
     cons.add_argument("--no-console", action="store_true")
     cons.add_argument("--no-parquet", action="store_true")
     cons.add_argument("--available-now", action="store_true")
+    cons.add_argument("--fail-late", action="store_true", help="fail if rows came behind the watermark and were dropped")
     cons.add_argument("--state-partitions", type=int, default=None)
     cons.add_argument("--with-grain", action="store_true", help="also write window_start and n")
 
@@ -86,7 +87,7 @@ def main(argv: list[str] | None = None) -> int:
         started = jobs.consumer_job(stream, args.base, args.checkpoints, console=not args.no_console,
                                     parquet=not args.no_parquet, available_now=args.available_now,
                                     state_partitions=args.state_partitions, with_grain=args.with_grain)
-        await_all(started)
+        await_all(started, allow_late=not args.fail_late)
     elif args.command == "read":
         reports = jobs.reader_job(spark, args.base, since=args.since, with_grain=args.with_grain)
         table = reports[args.source] if args.source else reports["table"]

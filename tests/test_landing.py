@@ -167,3 +167,17 @@ def test_lateness_of_each_batch(spark, tmp_path):
     for r in rows:
         spread = (r["last_event"] - r["first_event"]).total_seconds() * 1e6
         assert r["greatest_us"] - r["least_us"] == spread and r["least_us"] <= r["shares_us"][0] <= r["shares_us"][1] <= r["greatest_us"]
+
+
+def test_the_consumer_command_can_fail_on_losses(spark, tmp_path):
+    from tempora import cli
+
+    where = land_nine(spark, tmp_path)
+
+    def consume(name, *flags):
+        cli.main(["consumer", "--base", str(tmp_path / name), "--checkpoints", str(tmp_path / f"{name}-c"), "--input", where, "--available-now", "--no-console", *flags])
+
+    consume("a")
+    with pytest.raises(sq.LateRows):
+        consume("b", "--fail-late")
+    assert spark.read.parquet(str(tmp_path / "a" / "streaming")).count() == spark.read.parquet(str(tmp_path / "b" / "streaming")).count() > 0
