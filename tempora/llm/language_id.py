@@ -8,8 +8,11 @@ language is labelled as such. Forward-backward gives the probability of each
 label for each word; a document's language is the label with the largest sum
 over all its words, and its score is that label's share.
 
-Chains are ``CHAIN`` words long and cover the whole text; all chains of a batch
-are computed together, one word at a time.
+A text is one chain, however long. It is computed in pieces of ``CHAIN`` words:
+the transfers of all pieces are multiplied out together, a word at a time, then
+the messages between pieces are passed on through each text, then all pieces
+are computed with the messages that reach them. Texts beyond ``CHUNK`` bytes go
+block by block, twice, with the messages at the borders of blocks kept.
 
 Training sees a bounded sample: per language the ``DOCS`` documents with the
 smallest hash of their id, and ``CHAINS`` chains of each, spread evenly over
@@ -21,8 +24,9 @@ the transitions between languages are learned from.
 Defined results: a null text, or one without a letter, is ``und`` with score 0.
 Rows without a language are not learned from. A null doc_id counts as an empty
 text in the fold. Repeated rows get the same result each. Where nothing can be
-learned (no labelled rows), every text is ``und``. An empty table gives an
-empty result. Further columns play no part.
+learned (no labelled rows), every text is ``und``. Of languages with equal
+sums the first in alphabetical order is taken. An empty table gives an empty
+result. Further columns play no part.
 """
 
 from __future__ import annotations
@@ -41,12 +45,13 @@ from tempora.llm.hashing import range_hashes
 
 DOCS = 500  # documents learned from, for each language
 CHAINS = 8  # chains learned from, for each document
-CHAIN = 64
+CHAIN = 64  # words of a chain learned from, and of a piece of a text
 TABLE = 18  # bits of a feature's place in the table of weights
 CHUNK = 1 << 20  # bytes of text that are computed at once
 EPOCHS = (4, 3)  # before and after words are labelled anew
 SURE = 0.9
 UNKNOWN = "und"
+MIN_SCORE = 0.4  # share of a text's words that its language needs in the pipeline
 
 _LETTER = re.compile(rb"[A-Za-z]")
 
@@ -78,12 +83,13 @@ class Features:
         def place(code: np.ndarray, salt: int) -> np.ndarray:
             return ((code ^ np.uint32(salt)) * np.uint32(2654435761)) >> np.uint32(32 - TABLE)
 
+        head = np.where(ends - starts > 1, grams[starts], grams[starts] & np.uint32(0xFFFF) | np.uint32(32 << 16))  # no byte of the next word
         last = np.maximum(ends - 3, low)
         tail = wide[last] | wide[np.maximum(ends - 2, low)] << np.uint32(8) | wide[ends - 1] << np.uint32(16)
         self.words = np.stack(
             [
                 (range_hashes(raw, starts, ends) >> np.uint64(64 - TABLE)).astype(np.uint32),
-                place(grams[starts], 0x51000000),
+                place(head, 0x51000000),
                 place(tail, 0xA3000000),
             ],
             axis=1,
@@ -136,9 +142,91 @@ def marginals(evidence: np.ndarray, first: np.ndarray, step: np.ndarray, lengths
     return p.transpose(1, 0, 2)[inside], pairs
 
 
-def _lengths(n: int) -> np.ndarray:
-    """Chains of a text with n words."""
-    return np.diff(np.append(np.arange(0, n, CHAIN), n))
+def _normed(x: np.ndarray) -> np.ndarray:
+    return x / x.sum(axis=-1, keepdims=True)
+
+
+class Lattice:
+    """Whole texts as chains, computed in pieces of CHAIN words. ``evidence``: words
+    of all texts in a row; ``counts``: words of each text.
+
+    Values of words are kept word number within the piece first, then by piece,
+    longest piece first: those of one number are a slice."""
+
+    def __init__(self, evidence: np.ndarray, counts: np.ndarray, step: np.ndarray):
+        counts = np.asarray(counts, np.int64)
+        own = -(-counts // CHAIN)  # pieces of each text
+        self.n, self.k = int(own.sum()), evidence.shape[1]
+        number = np.arange(self.n) - np.repeat(np.cumsum(own) - own, own)
+        lengths = np.minimum(CHAIN, np.repeat(counts, own) - CHAIN * number)
+        order = np.argsort(-lengths, kind="stable")
+        self.rank = np.empty(self.n, np.int64)
+        self.rank[order] = np.arange(self.n)
+        self.width = int(lengths.max(initial=0))
+        self.active = np.array([np.searchsorted(-lengths[order], -t) for t in range(self.width + 1)])  # pieces of more than t words
+        self.offset = np.concatenate([[0], np.cumsum(self.active)])
+        word = np.arange(len(evidence)) - np.repeat(np.cumsum(lengths) - lengths, lengths)
+        self.place = self.offset[word] + np.repeat(self.rank, lengths)
+        self.e = np.empty(evidence.shape, np.float64)
+        self.e[self.place] = np.exp(evidence - evidence.max(axis=1, keepdims=True), dtype=np.float64)
+        self.a = np.exp(step - step.max())
+        by_size = np.argsort(-own, kind="stable")  # texts of most pieces first
+        self.texts, self.pieces = by_size[own[by_size] > 0], own[by_size][own[by_size] > 0]
+        self.begin = (np.cumsum(own) - own)[self.texts]
+        self.through = self._transfers()
+
+    def _at(self, t: int) -> slice:
+        return slice(self.offset[t], self.offset[t] + self.active[t])
+
+    def _transfers(self) -> np.ndarray:
+        """For each piece, from the message before its first word to its last word."""
+        if not self.n:
+            return np.zeros((0, self.k, self.k))
+        q = self.e[self._at(0)][:, :, None] * np.eye(self.k)
+        for t in range(1, self.width):
+            m = self.active[t]
+            x = (q[:m].reshape(-1, self.k) @ self.a).reshape(m, self.k, self.k) * self.e[self._at(t)][:, None, :]
+            q[:m] = x / x.max(axis=(1, 2), keepdims=True)
+        return q[self.rank]
+
+    def total(self) -> np.ndarray:
+        """The transfer of the whole of a single text."""
+        out = self.through[0]
+        for q in self.through[1:]:
+            out = out @ self.a @ q
+            out /= out.max()
+        return out
+
+    def marginals(self, start: np.ndarray, leave: np.ndarray) -> np.ndarray:
+        """Probability of each label for each word. ``start``: the message that
+        reaches a text's first word, ``leave``: the one that reaches its last word from behind."""
+        if not self.n:
+            return np.zeros((0, self.k))
+        reach, back = np.empty((self.n, self.k)), np.empty((self.n, self.k))
+        reach[self.begin] = start
+        longest = int(self.pieces[0])
+        more = np.searchsorted(-self.pieces, -np.arange(longest))  # texts of more than j pieces
+        for j in range(1, longest):
+            at = self.begin[: more[j]] + j
+            reach[at] = _normed(np.einsum("ik,ikl->il", reach[at - 1], self.through[at - 1]) @ self.a)
+        back[self.begin + self.pieces - 1] = leave
+        for j in range(longest - 1, 0, -1):
+            at = self.begin[: more[j]] + j
+            back[at - 1] = _normed(np.einsum("ikl,il->ik", self.through[at], back[at]) @ self.a.T)
+        alpha, beta, by_rank = np.empty_like(self.e), np.empty_like(self.e), np.empty_like(back)
+        alpha[self.rank] = reach
+        by_rank[self.rank] = back
+        alpha[self._at(0)] = _normed(alpha[: self.n] * self.e[self._at(0)])
+        for t in range(1, self.width):
+            before = alpha[self.offset[t - 1] : self.offset[t - 1] + self.active[t]]
+            alpha[self._at(t)] = _normed((before @ self.a) * self.e[self._at(t)])
+        for t in range(self.width - 1, -1, -1):
+            on = self.active[t + 1]  # the others end here
+            own = beta[self._at(t)]
+            own[on:] = by_rank[on : self.active[t]]
+            if on:
+                own[:on] = _normed((self.e[self._at(t + 1)] * beta[self._at(t + 1)]) @ self.a.T)
+        return _normed(alpha * beta)[self.place]
 
 
 class Model:
@@ -149,12 +237,36 @@ class Model:
         self.labels, self.weights = labels, np.zeros((1 << TABLE, k), np.float32)
         self.first, self.step = np.zeros(k), np.zeros((k, k))
 
+    @property
+    def start(self) -> np.ndarray:
+        return np.exp(self.first - self.first.max())
+
     def words(self, text: bytes) -> np.ndarray:
         """Probability of each label for each word of a text of bounded size."""
         found = Features(text)
-        if not found.n:
-            return np.zeros((0, len(self.labels)))
-        return marginals(found.evidence(self.weights), self.first, self.step, _lengths(found.n))[0]
+        return Lattice(found.evidence(self.weights), np.array([found.n]), self.step).marginals(self.start, np.ones(len(self.labels)))
+
+    def sums(self, text: bytes) -> np.ndarray:
+        """Sums of the words' probabilities of a text of any size, a block at a time."""
+
+        def lattices() -> Iterator[Lattice]:
+            for part in _chunks(text):
+                found = Features(part)
+                if found.n:
+                    yield Lattice(found.evidence(self.weights), np.array([found.n]), self.step)
+
+        starts, totals, reach, a = [], [], self.start, np.exp(self.step - self.step.max())
+        for block in lattices():
+            starts.append(reach)
+            totals.append(block.total())
+            reach = _normed(reach @ totals[-1] @ a)
+        leaves = [np.ones(len(self.labels))]
+        for total in totals[:0:-1]:
+            leaves.append(_normed(a @ (total @ leaves[-1])))
+        out = np.zeros(len(self.labels))
+        for block, start, leave in zip(lattices(), starts, reversed(leaves)):
+            out += block.marginals(start, leave).sum(axis=0)
+        return out
 
     def fit(self, chains: list[tuple[bytes, int]], rate: float = 0.3, batch: int = 256, seed: int = 7) -> Model:
         """``chains``: text of at most CHAIN words and the number of its document's label."""
@@ -268,16 +380,16 @@ def _groups(texts: list[bytes | None]) -> Iterator[tuple[int, list[bytes]]]:
 
 
 def _document_sums(group: list[bytes], model: Model) -> list[np.ndarray]:
-    """Sums of the words' probabilities for each text, all chains at once."""
+    """Sums of the words' probabilities for each text, all texts of a block's size at once."""
     out = []
     short = [t if len(t) <= CHUNK else b"" for t in group]
-    counts = [len(t.split()) for t in short]
+    counts = np.array([len(t.split()) for t in short], np.int64)
     found = Features(b" ".join(short))
-    p = marginals(found.evidence(model.weights), model.first, model.step, np.concatenate([_lengths(n) for n in counts]))[0] if found.n else np.zeros((0, len(model.labels)))
+    p = Lattice(found.evidence(model.weights), counts, model.step).marginals(model.start, np.ones(len(model.labels)))
     ends = np.cumsum(counts)
     total = np.concatenate([np.zeros((1, p.shape[1])), np.cumsum(p, axis=0)])
     for text, n, end in zip(group, counts, ends):
-        out.append(total[end] - total[end - n] if len(text) <= CHUNK else sum(model.words(part).sum(axis=0) for part in _chunks(text)))
+        out.append(total[end] - total[end - n] if len(text) <= CHUNK else model.sums(text))
     return out
 
 
@@ -290,7 +402,13 @@ def identify(docs: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
     return found.select("doc_id", "held_out", "p.lang_pred", "p.score")
 
 
-def known_language(docs: DataFrame, folds: int = 3, held_out: int = 1) -> DataFrame:
-    """The rows of ``docs`` whose text has a language, with all their columns."""
+def known_language(docs: DataFrame, folds: int = 3, held_out: int = 1, min_score: float = MIN_SCORE, languages: list[str] | None = None) -> DataFrame:
+    """The rows of ``docs`` in a language, with all their columns: the predicted
+    language is known (one of ``languages``, if given) and at least ``min_score``
+    of the words speak for it. Where nothing can be learned, no row has a language."""
     predict = predictor(train(docs, fold(F.col("doc_id"), folds) != held_out), docs.sparkSession)
-    return unfold(with_row(docs, p=predict(F.col("text"))).where(F.col("p.lang_pred") != UNKNOWN), docs)
+    lang, score = F.col("p.lang_pred"), F.col("p.score")
+    wanted = (lang != UNKNOWN) & (score >= min_score)
+    if languages is not None:
+        wanted &= lang.isin(languages)
+    return unfold(with_row(docs, p=predict(F.col("text"))).where(wanted), docs)

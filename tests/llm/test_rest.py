@@ -188,6 +188,64 @@ def test_marginals_equal_enumeration():
     assert np.allclose(p[:4], want) and np.allclose(p[4:], one) and np.allclose(n, pairs + single)
 
 
+def test_whole_texts_are_one_chain(monkeypatch):
+    """Pieces, batches and blocks of a text make no difference to plain forward-backward over all its words."""
+    random = np.random.default_rng(4)
+    model = language_id.Model(["a", "b", "c"])
+    model.weights = random.normal(0, 0.3, model.weights.shape).astype(np.float32)
+    model.first, model.step = random.normal(size=3), random.normal(0, 2, (3, 3))
+
+    def plain(text):
+        e, a = np.exp(language_id.Features(text).evidence(model.weights).astype(float)), np.exp(model.step)
+        alpha, beta = np.zeros(e.shape), np.ones(e.shape)
+        for t in range(len(e)):
+            alpha[t] = (alpha[t - 1] @ a if t else np.exp(model.first)) * e[t]
+            alpha[t] /= alpha[t].sum()
+        for t in range(len(e) - 2, -1, -1):
+            beta[t] = a @ (e[t + 1] * beta[t + 1])
+            beta[t] /= beta[t].sum()
+        p = alpha * beta
+        return (p / p.sum(axis=1, keepdims=True)).sum(axis=0)
+
+    texts = [" ".join("".join(random.choice(list("abcdefgh"), random.integers(1, 6))) for _ in range(n)).encode() for n in (200, 1, 64, 0, 65, 129, 3, 1500)]
+    texts += [b" \n ", b"a", b" x  y\tz "]
+    want = [plain(t) for t in texts]
+    assert np.allclose(language_id._document_sums(texts, model), want, atol=1e-4)
+    assert np.allclose(model.words(texts[0]).sum(axis=0), want[0], atol=1e-4) and model.words(b"").shape == (0, 3)
+    for size in (1, 40, 700):
+        monkeypatch.setattr(language_id, "CHUNK", size)
+        assert np.allclose([model.sums(t) for t in texts], want, atol=1e-4)
+        assert np.allclose(language_id._document_sums(texts, model), want, atol=1e-4)
+
+
+def test_repeated_and_long_rows_in_any_batch(spark):
+    """A text's prediction depends on nothing but the text: not on its neighbours, its partition or blocks."""
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(docs, language_id.fold(docs["doc_id"], 3) != 1)
+    own = docs.limit(40).collect()
+    texts = [r["text"] for r in own] + [(own[0]["text"] + " ") * (1 + (5 << 19) // len(own[0]["text"].encode())), None, "", own[1]["text"]]
+    rows = [(i, t) for i, t in enumerate(texts)]
+    results = []
+    for parts in (1, 7):
+        df = spark.createDataFrame(rows, "doc_id long, text string").repartition(parts, "doc_id")
+        predict = language_id.predictor(model, spark)
+        results.append({r["doc_id"]: (r["p"]["lang_pred"], round(r["p"]["score"], 6)) for r in df.select("doc_id", predict(df["text"]).alias("p")).collect()})
+    assert results[0] == results[1]
+    assert results[0][40][0] == results[0][0][0] and results[0][41] == results[0][42] == ("und", 0.0) and results[0][43] == results[0][1]
+
+
+def test_language_filter(spark):
+    docs = spark.read.parquet(f"{SF}/documents.parquet")
+    model = language_id.train(docs, language_id.fold(docs["doc_id"], 3) != 1)
+    p = language_id.predictor(model, spark)(docs["text"])
+    found = {r["doc_id"]: r["p"] for r in docs.select("doc_id", p.alias("p")).collect()}
+    middle = sorted(q["score"] for q in found.values())[len(found) // 2]
+    for least, only in ((0.0, None), (middle, None), (0.4, ["en", "fr"])):
+        kept = language_id.known_language(docs, min_score=least, languages=only)
+        want = {d for d, q in found.items() if q["lang_pred"] != "und" and q["score"] >= least and (only is None or q["lang_pred"] in only)}
+        assert {r["doc_id"] for r in kept.select("doc_id").collect()} == want and want
+
+
 def test_quality_gradients():
     random = np.random.default_rng(0)
     net = quality_cnn.Network()
