@@ -2,6 +2,13 @@
 
 Each stage works on all that the one before has kept and is written as Parquet
 in between. All but the last return the columns of ``documents``.
+
+Defined results: null and empty texts, and texts without a letter, go in the
+first stage; so do all where no row has a language to learn from. Of equal
+texts with equal doc_ids one row stays, and so with near-duplicates; a null
+doc_id is smaller than any other. A null source is a source of its own. An
+empty table gives an empty result at every stage. Further columns are kept up
+to the last stage, whatever their names.
 """
 
 from __future__ import annotations
@@ -13,8 +20,8 @@ from tempora.llm.common import cut, table
 
 
 def language(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
-    """Documents whose text has a language; the others have no letter in them."""
-    return language_id.known_language(docs)
+    """Documents in one of the languages learned: ``MIN_SCORE`` of the words speak for the predicted one."""
+    return language_id.known_language(docs, min_score=language_id.MIN_SCORE)
 
 
 def exact(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
