@@ -107,22 +107,26 @@ class _Split:
     def __init__(self, file: int, block: int):
         self.file, self.block, self.at = file, block, 0
         self.head: list[bytes] = []
+        self.head_size = 0
         self.head_end = -1  # after the blank line; -1: none yet
         self.open: list[int] = []  # candidates whose header has not ended
         self.zone: list[tuple[int, bytes]] = []  # their lines
         self.found: list[tuple[int, int, int]] = []  # offset, payload start, payload length
 
     def line(self, line: bytes) -> None:
-        if self.head_end < 0 and sum(map(len, self.head)) <= HEADER:
+        if self.head_end < 0 and self.head_size <= HEADER:
             if line:
                 self.head.append(line)
+                self.head_size += len(line)
             else:
                 self.head_end = self.at + 2
         if self.open and not line:
-            for start in self.open:
-                length = _LENGTH.search(b"\r\n".join(x for at, x in self.zone if at >= start))
-                if length:
-                    self.found.append((start, self.at + 2, int(length[1])))
+            lengths = [(at, m[1]) for at, x in self.zone if (m := _LENGTH.search(x + b"\r\n"))]
+            for start in reversed(self.open):  # the first length after each
+                while len(lengths) > 1 and lengths[-2][0] >= start:
+                    lengths.pop()
+                if lengths and lengths[-1][0] >= start:
+                    self.found.append((start, self.at + 2, int(lengths[-1][1])))
             self.open, self.zone = [], []
         if _MAGIC.fullmatch(line):
             self.open.append(self.at)

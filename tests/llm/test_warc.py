@@ -72,3 +72,20 @@ def test_torn_archive_fails(spark, tmp_path):
     (path / "a.warc").write_bytes(b"WARC/1.1\r\nContent-Length: 500\r\n\r\nshort\r\n\r\n")
     with pytest.raises(ValueError, match="chain"):
         warc.read(spark, str(path)).count()
+
+
+def test_many_magic_lines_in_one_header_zone():
+    """Each candidate takes the first length after it, in time that grows with the lines."""
+    split = warc._Split(1, 0)
+    lines = [b"WARC/1.0", b"Content-Length: 7", b"WARC/1.0", b"WARC/1.0", b"content-length: 9", b"Content-Length: 3", b"WARC/1.0", b""]
+    at, starts = 0, []
+    for x in lines:
+        if x == b"WARC/1.0":
+            starts.append(at)
+        split.line(x)
+        at += len(x) + 2
+    assert sorted(split.found) == [(starts[0], at, 7), (starts[1], at, 9), (starts[2], at, 9)]
+    split = warc._Split(1, 0)
+    for x in [b"WARC/1.0"] * 6000 + [b"Content-Length: 5", b""]:
+        split.line(x)
+    assert len(split.found) == 6000 and {n for _, _, n in split.found} == {5}
