@@ -117,8 +117,11 @@ def observed_nulls(raw: DataFrame, counted: dict) -> DataFrame:
 
 
 def half_up_percent(part: str, whole: str) -> Column:
-    """``round(100 * part / whole, 2)`` HALF_UP in exact integer arithmetic; null if whole is 0."""
-    hundredths = F.expr(f"(2 * {part} * 10000 + {whole}) div (2 * {whole})")
+    """``round(100 * part / whole, 2)`` HALF_UP in exact integer arithmetic; null if whole is 0.
+
+    In longs whatever the columns' type: counts that came through the driver are
+    int literals, whose products overflow at some 107,000 removed rows."""
+    hundredths = F.expr(f"(2L * {part} * 10000 + {whole}) div (2L * {whole})")
     return F.when(F.col(whole) > 0, hundredths / F.lit(100.0))
 
 

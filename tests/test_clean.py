@@ -95,3 +95,11 @@ def test_clean_is_idempotent(raw):
     once = clean.clean_history(raw)
     twice = once.filter(clean.is_valid("city", "country"))
     assert sorted(once.collect()) == sorted(twice.collect())
+
+
+def test_percentage_of_int_counts_needs_no_int_products(spark):
+    rows = [(55_000, 150_000), (107_375, 900_000), (1_073_741_824, 2_147_483_647), (1, 20_000), (0, 2_147_483_647), (0, 0)]
+    for kind in ("int", "long"):
+        df = spark.createDataFrame(rows, f"part {kind}, whole {kind}")
+        found = [r.pct for r in df.select(clean.half_up_percent("part", "whole").alias("pct")).collect()]
+        assert found == [36.67, 11.93, 50.0, 0.01, 0.0, None]

@@ -1,6 +1,9 @@
 import os
 
+from pyspark.sql import functions as F
+
 from tempora.plans import jobs
+from tempora.sinks import files
 from tempora.sources.stream import read_record_csv_stream
 from tempora.streaming import queries as sq
 from tests.conftest import write_text
@@ -41,6 +44,21 @@ def test_notebook_job_writes_datasets_and_report(spark, tmp_path):
     assert len([f for f in os.listdir(f"{out}/decade_trend") if f.endswith(".csv")]) == 1
 
 
+def test_notebook_job_reports_more_rows_than_int_products_hold(spark, tmp_path):
+    n, bad = 130_000, 108_000  # 2 * 108,000 * 10,000 is more than an int holds
+    csv, out = str(tmp_path / "many"), str(tmp_path / "out")
+    i = F.col("id")
+    raw = spark.range(n).select(
+        F.when(i < bad, F.lit("not-a-date")).otherwise(F.lit("2001-05-06")).alias("dt"), (i % 7).alias("AverageTemperature"),
+        F.lit(None).cast("double").alias("AverageTemperatureUncertainty"), F.lit("Oslo").alias("City"), F.lit("Norway").alias("Country"),
+        F.lit("59N").alias("Latitude"), F.lit("10E").alias("Longitude"))
+    files.write_history_csv(raw, csv)
+    report = jobs.notebook_job(spark, csv, out, exact=True)
+    assert (report["rows_before_cleaning"], report["rows_after_cleaning"], report["rows_removed"]) == (n, n - bad, bad)
+    assert report["removal_percentage"] == 83.08  # 83.0769...
+    assert spark.read.parquet(f"{out}/temperature_cleaned_parquet").count() == n - bad
+
+
 def test_consumer_and_reader(spark, tmp_path):
     landing = str(tmp_path / "in")
     write_text(f"{landing}/1.csv", REC_HEADER + rec("2024-01-01T10:00:30") + rec("2024-01-01T10:05:00"))
